@@ -1,0 +1 @@
+"""Empty on purpose: every supported input is a bounded file or table."""
