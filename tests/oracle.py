@@ -41,7 +41,6 @@ def difference(spark, sf_dir, query, sql):
 
 if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    os.environ["PYTHONPATH"] = sys.path[0]
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as contract

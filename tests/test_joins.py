@@ -1,0 +1,56 @@
+import pytest
+from pyspark.sql import functions as F
+
+from brindle.operators.joins import fits_in_broadcast, lookup_join, spread_join
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    facts = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"),
+        F.col("id").alias("x"),
+    )
+    lookup = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    return facts, lookup
+
+
+def rows_of(frame):
+    return sorted(map(tuple, frame.select("k", "x", "y").collect()))
+
+
+@pytest.mark.parametrize("spread_rows", [7, 500, 10_000])
+def test_spread_join_equals_join(sides, spread_rows):
+    facts, lookup = sides
+    want = rows_of(facts.join(lookup, "k"))
+    assert rows_of(spread_join(facts, lookup, "k", spread_rows)) == want
+    assert rows_of(spread_join(facts, lookup, "k", spread_rows, counted=facts)) == want
+
+
+def test_spread_join_with_repeated_lookup_keys(sides):
+    facts, lookup = sides
+    twice = lookup.union(lookup)
+    assert rows_of(spread_join(facts, twice, "k", 100)) == rows_of(facts.join(twice, "k"))
+
+
+def test_lookup_join_measures_before_it_broadcasts(sides):
+    facts, lookup = sides
+    assert fits_in_broadcast(lookup, 10_000) and not fits_in_broadcast(lookup, 100)
+    assert fits_in_broadcast(lookup.where("k < 0"), 0)
+    small = lookup_join(facts, lookup, "k")
+    large = lookup_join(facts, lookup, "k", max_bytes=100, spread_rows=100)
+    assert rows_of(small) == rows_of(large)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_hot_key_is_spread_over_tasks(spark, sides):
+    facts, lookup = sides
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spread_join(facts, lookup, "k", 100)
+        parts = joined.where("k = 0").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert parts == 8

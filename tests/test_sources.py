@@ -1,0 +1,114 @@
+import os
+
+import pytest
+from pyspark.sql import Row
+
+from brindle.scratch import materialize, shared_root
+from brindle.sources import (
+    read_csv,
+    read_matrix,
+    read_points,
+    read_triples,
+    write_csv,
+    write_tsv,
+)
+
+
+def put(tmp_path, name, text):
+    path = tmp_path / name
+    path.write_text(text)
+    return str(path)
+
+
+def test_csv_infers_types(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "order_id,product_id,name\n1,7,x\n2,8,\n")
+    table = read_csv(spark, path)
+    assert table.dtypes == [("order_id", "int"), ("product_id", "int"), ("name", "string")]
+    assert table.orderBy("order_id").collect()[1]["name"] is None
+
+
+def test_csv_with_schema_fails_on_bad_number(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "k,x\n1,oops\n")
+    with pytest.raises(Exception):
+        read_csv(spark, path, "k BIGINT, x DOUBLE").collect()
+
+
+def test_csv_pandas_missing(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "k,x,s\n1,NA,a\n2,nan,null\n3,1.5,\n")
+    rows = read_csv(spark, path, "k BIGINT, x DOUBLE, s STRING", pandas_missing=True)
+    assert sorted(map(tuple, rows.collect())) == [(1, None, "a"), (2, None, None), (3, 1.5, None)]
+
+
+def test_csv_inferred_nan_becomes_null(spark, tmp_path):
+    path = put(tmp_path, "a.csv", "k,x\n1,NaN\n2,1.5\n")
+    table = read_csv(spark, path, pandas_missing=True)
+    assert dict(table.dtypes)["x"] == "double"
+    assert sorted(map(tuple, table.collect())) == [(1, None), (2, 1.5)]
+
+
+def test_points_dimension_per_line_and_blank_lines(spark, tmp_path):
+    path = put(tmp_path, "p.txt", "a 1 2.5\n\nb -3e2\nc\n")
+    points = {r["id"]: r["v"] for r in read_points(spark, path).collect()}
+    assert points == {"a": [1.0, 2.5], "b": [-300.0], "c": []}
+
+
+@pytest.mark.parametrize("line", ["a 1  2", "a x", "a 1 "])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_points_bad_number_fails(spark, tmp_path, line, ansi):
+    path = put(tmp_path, "p.txt", line + "\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="not a number"):
+            read_points(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_matrix_rows_and_cells(spark, tmp_path):
+    path = put(tmp_path, "m.tsv", "1\t1\t0\t3\n2\t0\t0\t0\n")
+    matrix = read_matrix(spark, path, 3)
+    assert sorted(r["r"] for r in matrix.rows.collect()) == [1, 2]
+    assert sorted(map(tuple, matrix.cells.collect())) == [(1, 1, 1.0), (1, 3, 3.0)]
+
+
+@pytest.mark.parametrize("line", ["1\t1\t0", "1\t1\t0\t1\t1", "1\t1\t0\t1.5", "1\t1\t0\t"])
+def test_matrix_bad_line_fails(spark, tmp_path, line):
+    path = put(tmp_path, "m.tsv", "2\t1\t1\t1\n" + line + "\n")
+    with pytest.raises(Exception):
+        read_matrix(spark, path, 3).cells.collect()
+
+
+def test_triples_round_trip_keeps_doubles(spark, tmp_path):
+    rows = [(1, 2, 0.1 + 0.2), (3, 4, 1e-300), (5, 6, -7.0)]
+    path = str(tmp_path / "t")
+    write_tsv(spark.createDataFrame(rows, "i BIGINT, k BIGINT, v DOUBLE"), path)
+    assert sorted(map(tuple, read_triples(spark, path).collect())) == rows
+
+
+def test_triples_bad_text_fails(spark, tmp_path):
+    with pytest.raises(Exception):
+        read_triples(spark, put(tmp_path, "t.tsv", "1\tx\t2\n")).collect()
+
+
+@pytest.mark.parametrize("writer", [write_tsv, write_csv])
+def test_writers_refuse_existing_folder(spark, tmp_path, writer):
+    path = str(tmp_path / "out")
+    writer(spark.range(3), path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        writer(spark.range(3), path)
+
+
+def test_tsv_text_is_raw_and_null_keeps_its_place(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_tsv(spark.createDataFrame([('say "x"', None, 2.0)], "a STRING, b STRING, c DOUBLE"), path)
+    assert [r["value"] for r in spark.read.text(path).collect()] == ['say "x"\t\t2.0']
+
+
+def test_materialize_uses_the_configured_folder(spark):
+    root = shared_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    frame = materialize(spark.range(3), "numbers")
+    assert sorted(frame.collect()) == [Row(id=0), Row(id=1), Row(id=2)]
+    assert all(f"{root}/brindle/numbers-" in name for name in frame.inputFiles())
+    assert os.path.isdir(f"{root}/brindle")
