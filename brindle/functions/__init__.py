@@ -53,12 +53,14 @@ def zero_to(value: Column, replacement: float) -> Column:
 def gaussian(seed: int, *keys: Column) -> Column:
     """Standard normal draw that depends only on ``seed`` and the key values.
 
-    Box-Muller over two 48-bit slices of an MD5 digest. Unlike ``randn`` the
-    value does not depend on the partitioning, so a task that is run again
+    Box-Muller over the two halves of 60 bits of an MD5 digest. Unlike ``randn``
+    the value does not depend on the partitioning, so a task that is run again
     after an executor loss draws the same numbers.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]))
-    scale = float(1 << 48)
-    first = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 1.0) / scale
-    second = F.conv(F.substring(digest, 13, 12), 16, 10).cast("double") / scale
+    parts = [part for key in keys for part in (F.lit(":"), key.cast("string"))]
+    digest = F.md5(F.concat(F.lit(str(seed)), *parts))
+    bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    half = 1 << 30
+    first = (F.shiftright(bits, 30) + 1) / float(half)
+    second = bits.bitwiseAND(F.lit(half - 1)) / float(half)
     return F.sqrt(F.log(first) * -2.0) * F.cos(second * (2.0 * math.pi))

@@ -302,16 +302,15 @@ def _shape(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return rows + 1, cols + 1
 
 
-def _start(spark: SparkSession, sf_dir: str):
-    num_rows, num_cols = _shape(spark, sf_dir)
-    rows = _supply_rows(spark, sf_dir)
-    return (
-        rows,
-        _stored_cells(spark, sf_dir),
-        bipartite.init_gamma(rows, num_cols, GAMMA_SEED),
-        num_rows,
-        num_cols,
-    )
+def _first_errors(spark: SparkSession, sf_dir: str, cells: DataFrame) -> DataFrame:
+    _, num_cols = _shape(spark, sf_dir)
+    weights = materialize(bipartite.cell_weights(cells), "weights")
+    return bipartite.rating_error(weights, _gamma(spark, sf_dir), 1, num_cols)
+
+
+def _gamma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, num_cols = _shape(spark, sf_dir)
+    return bipartite.init_gamma(_supply_rows(spark, sf_dir), num_cols, GAMMA_SEED)
 
 
 def row_degree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,21 +323,17 @@ def nbi_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nbi_gamma_init(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, num_cols = _shape(spark, sf_dir)
-    gamma = bipartite.init_gamma(_supply_rows(spark, sf_dir), num_cols, GAMMA_SEED)
-    return gamma.select("r", "c", _r6("g").alias("g"))
+    return _gamma(spark, sf_dir).select("r", "c", _r6("g").alias("g"))
 
 
 def nbi_rating_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, cells, gamma, _, num_cols = _start(spark, sf_dir)
-    errors = bipartite.rating_error(bipartite.cell_weights(cells), gamma, 1, num_cols)
+    errors = _first_errors(spark, sf_dir, _stored_cells(spark, sf_dir))
     return errors.select("r", "c", _r6("num").alias("num"), _r6("err2").alias("err2"))
 
 
 def nbi_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, cells, gamma, num_rows, num_cols = _start(spark, sf_dir)
-    errors = bipartite.rating_error(bipartite.cell_weights(cells), gamma, 1, num_cols)
-    summary = bipartite.error_summary(errors, num_rows, num_cols)
+    errors = _first_errors(spark, sf_dir, _stored_cells(spark, sf_dir))
+    summary = bipartite.error_summary(errors, *_shape(spark, sf_dir))
     return summary.select(
         _r6("num").alias("num"), _r6("ss").alias("ss"), _r6("rmse").alias("rmse"),
         _r6(F.col("part") * 1e6).alias("part_millionths"),
@@ -346,16 +341,24 @@ def nbi_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nbi_gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, cells, gamma, num_rows, num_cols = _start(spark, sf_dir)
-    errors = bipartite.rating_error(bipartite.cell_weights(cells), gamma, 1, num_cols)
-    part = bipartite.error_summary(errors, num_rows, num_cols).first()["part"]
-    moved = bipartite.gradient_step(gamma, rows, cells, part, 1, LEARNING_RATE)
+    cells = _stored_cells(spark, sf_dir)
+    errors = _first_errors(spark, sf_dir, cells)
+    part = bipartite.error_summary(errors, *_shape(spark, sf_dir)).first()["part"]
+    moved = bipartite.gradient_step(
+        _gamma(spark, sf_dir), _supply_rows(spark, sf_dir), cells, part, 1, LEARNING_RATE
+    )
     return moved.select("r", "c", _r6("g").alias("g"))
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> bipartite.Fit:
-    rows, cells, gamma, num_rows, num_cols = _start(spark, sf_dir)
-    return bipartite.fit(rows, cells, gamma, EPOCHS, LEARNING_RATE, num_rows, num_cols)
+    return bipartite.fit(
+        _supply_rows(spark, sf_dir),
+        _stored_cells(spark, sf_dir),
+        EPOCHS,
+        LEARNING_RATE,
+        *_shape(spark, sf_dir),
+        seed=GAMMA_SEED,
+    )
 
 
 def nbi_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

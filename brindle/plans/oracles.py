@@ -101,20 +101,19 @@ _TRANSITION = f"""{_CELLS},
         JOIN degree ON r = i)"""
 
 
-def _uniform(start: int, shift: int) -> str:
-    digest = f"md5(concat_ws(':', '{GAMMA_SEED}', r, c))"
-    return f"(CAST('0x' || substr({digest}, {start}, 12) AS BIGINT) + {shift}) / 281474976710656.0"
-
+_BITS = f"CAST('0x' || substr(md5(concat_ws(':', '{GAMMA_SEED}', r, c)), 1, 15) AS BIGINT)"
 
 _GAMMA = f"""
     shape AS (SELECT (SELECT max(s_suppkey) + 1 FROM supplier) AS num_rows,
         (SELECT max(p_partkey) + 1 FROM part) AS num_cols),
     grid AS (
         SELECT s_suppkey + 1 AS r, p_partkey + 1 AS c FROM supplier CROSS JOIN part),
+    bits AS (SELECT r, c, {_BITS} AS b FROM grid),
     g0 AS MATERIALIZED (
         SELECT r, c,
-            sqrt(-2.0 * ln({_uniform(1, 1)})) * cos(2.0 * pi() * {_uniform(13, 0)}) * 0.10 AS g
-        FROM grid)"""
+            sqrt(-2.0 * ln(((b >> 30) + 1) / 1073741824.0))
+                * cos(2.0 * pi() * ((b & 1073741823) / 1073741824.0)) * 0.10 AS g
+        FROM bits)"""
 
 
 def _step(n: int, column: int) -> str:
