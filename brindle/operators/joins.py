@@ -22,10 +22,12 @@ def spread_join(
     """Inner join in which a key with many left rows is spread over many tasks.
 
     Keys with more than ``spread_rows`` left rows are found by a count that reads
-    only the key column. Their left rows get a random salt, their right rows are
-    repeated once per salt; all other keys are joined as usual. At most
+    only the key column. Their left rows get a salt, their right rows are repeated
+    once per salt; all other keys are joined as usual. At most
     ``rows / spread_rows`` keys can be that large, so their list is small enough
-    to broadcast. ``counted`` names a cheaper frame with the left side's keys, for
+    to broadcast. The salt hashes the row and the number of its partition:
+    copies of a row are spread too, and a task that is run again after an
+    executor loss gives every row the same salt, in whatever order it reads them. ``counted`` names a cheaper frame with the left side's keys, for
     the case that ``left`` itself is the result of a join.
     """
     hot = F.broadcast(
@@ -35,8 +37,9 @@ def spread_join(
         .select(on, F.ceil(F.col("_n") / spread_rows).cast("int").alias("_fan"))
     )
     fan = F.coalesce("_fan", F.lit(1))
+    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), fan).cast("int")
     salted = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(fan > 1, F.floor(F.rand(17) * fan).cast("int")).otherwise(F.lit(0))
+        "_salt", F.when(fan > 1, spot).otherwise(F.lit(0))
     )
     repeated = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), fan - 1))
