@@ -18,16 +18,18 @@ def spread_join(
     on: str,
     spread_rows: int = SPREAD_ROWS,
     counted: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join in which a key with many left rows is spread over many tasks.
+    """Inner or left join in which a key with many left rows is spread over many tasks.
 
     Keys with more than ``spread_rows`` left rows are found by a count that reads
     only the key column. Their left rows get a salt, their right rows are repeated
     once per salt; all other keys are joined as usual. At most
     ``rows / spread_rows`` keys can be that large, so their list is small enough
-    to broadcast. The salt hashes the row and the number of its partition:
-    copies of a row are spread too, and a task that is run again after an
-    executor loss gives every row the same salt, in whatever order it reads them. ``counted`` names a cheaper frame with the left side's keys, for
+    to broadcast. The salt hashes the row and the number of its partition, so a
+    task that is run again after an executor loss gives every row the same salt, in whatever
+    order it reads them. Copies of a row are spread over salts as far as they lie in several
+    partitions. ``counted`` names a cheaper frame with the left side's keys, for
     the case that ``left`` itself is the result of a join.
     """
     hot = F.broadcast(
@@ -44,7 +46,7 @@ def spread_join(
     repeated = right.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), fan - 1))
     )
-    return salted.drop("_fan").join(repeated.drop("_fan"), [on, "_salt"]).drop("_salt")
+    return salted.drop("_fan").join(repeated.drop("_fan"), [on, "_salt"], how).drop("_salt")
 
 
 def fits_in_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -62,12 +64,13 @@ def lookup_join(
     on: str,
     max_bytes: int = BROADCAST_BYTES,
     spread_rows: int = SPREAD_ROWS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of a large table with a keyed lookup table; one key column is kept.
+    """Inner or left join of a large table with a keyed lookup table; one key column is kept.
 
     The lookup side is measured first. If it is small it is broadcast and the
     large table is not shuffled; otherwise ``spread_join`` shuffles both sides.
     """
     if fits_in_broadcast(lookup, max_bytes):
-        return facts.join(F.broadcast(lookup), on)
-    return spread_join(facts, lookup, on, spread_rows)
+        return facts.join(F.broadcast(lookup), on, how)
+    return spread_join(facts, lookup, on, spread_rows, how=how)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from brindle.functions import column_block, row_sum
+from brindle.functions import column_block, nan_to_null, row_sum
 
 
 def _long_form(one_row: DataFrame, entries: list[Column]) -> DataFrame:
@@ -15,8 +16,11 @@ def _long_form(one_row: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Position, name, non-null count and type of every column, from a single pass."""
-    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    """Position, name, count of values that are not missing and type of every column, from a single pass.
+
+    NULL and NaN are missing, here and in the other functions.
+    """
+    counts = nan_to_null(df).agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
     return _long_form(
         counts,
         [
@@ -32,8 +36,8 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean of each column, NULL skipped, as one row per column."""
-    means = df.agg(*[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)])
+    """Mean of each column, missing values skipped, as one row per column."""
+    means = nan_to_null(df.select(*columns)).agg(*[F.avg(F.col(c)).alias(f"m{i}") for i, c in enumerate(columns)])
     return _long_form(
         means,
         [
@@ -49,11 +53,12 @@ def block_means(df: DataFrame, start: int, stop: int) -> DataFrame:
 
 
 def _group_count(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(counted).alias(name))
+    used = nan_to_null(df.select(F.col(key), F.col(counted).alias("_counted")))
+    return used.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("_counted").alias(name))
 
 
 def group_count(df: DataFrame, key: str, counted: str, name: str = "n") -> DataFrame:
-    """Non-null values of ``counted`` per key; rows without a key are left out; keys ascending."""
+    """Values of ``counted`` per key that are not missing; rows without a key are left out; keys ascending."""
     return _group_count(df, key, counted, name).orderBy(key)
 
 
@@ -95,7 +100,10 @@ def top_rows(
     df: DataFrame, by: str, k: int, tie_break: Sequence[str], ascending: bool = False
 ) -> DataFrame:
     """First ``k`` rows by a column, missing values last in both directions."""
-    order = F.asc_nulls_last(by) if ascending else F.desc_nulls_last(by)
+    value = F.col(by)
+    if isinstance(df.schema[by].dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)
+    order = value.asc_nulls_last() if ascending else value.desc_nulls_last()
     return df.orderBy(order, *tie_break).limit(k)
 
 

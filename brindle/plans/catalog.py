@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators import baskets as market
 from brindle.operators import bipartite, nearest, table
+from brindle.operators.joins import lookup_join
 from brindle.scratch import materialize, scratch_path
 from brindle.sources import (
     read_csv,
@@ -52,6 +53,25 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, part.schema, pandas_missing=True)
 
 
+def csv_scan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, commas and quotes through CSV and back."""
+    documents = _load(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents-csv")
+    write_csv(documents, path)
+    return read_csv(spark, path, documents.schema, multi_line=True)
+
+
+def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types from the values: integers, a number with gaps marked NA, and text."""
+    gap = F.when(F.col("p_size") % 7 == 0, "NA").otherwise(F.col("p_retailprice").cast("string"))
+    part = _load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", gap.alias("price"))
+    path = scratch_path(spark, "part-csv")
+    write_csv(part, path)
+    read = read_csv(spark, path, pandas_missing=True)
+    assert read.schema["price"].dataType.simpleString() == "double"
+    return read.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+
+
 def points_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     coordinates = F.col("embedding").cast("array<double>").cast("array<string>")
     lines = _load(spark, sf_dir, "embeddings").select(
@@ -64,14 +84,24 @@ def points_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrix_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matrix part x quantity: how many lines sold a part in that quantity (1 to 50)."""
+    """Matrix part x quantity: how many lines sold a part in that quantity; as wide as the largest one."""
+    quantity = F.col("l_quantity")
+    whole = quantity == F.floor(quantity)
+    fault = F.raise_error(F.concat(F.lit("not a column number: "), quantity.cast("string")))
     lines = _load(spark, sf_dir, "lineitem").select(
-        (F.col("l_partkey") + 1).alias("r"), F.col("l_quantity").cast("int").alias("quantity")
+        (F.col("l_partkey") + 1).alias("r"),
+        F.when(whole & (quantity >= 1), quantity.cast("bigint")).otherwise(fault.cast("bigint")).alias("c"),
     )
-    wide = lines.groupBy("r").pivot("quantity", list(range(1, 51))).count().na.fill(0)
+    widest = lines.agg(F.max("c").alias("m")).first()["m"] or 1
+    counts = lines.groupBy("r", "c").agg(F.count(F.lit(1)).alias("n"))
+    cells = F.map_from_entries(F.collect_list(F.struct("c", "n")))
+    # A line of text per row: the counts of its columns in order, 0 where there is none.
+    found = counts.groupBy("r").agg(cells.alias("cells"))
+    columns = F.sequence(F.lit(1).cast("bigint"), F.lit(widest).cast("bigint"))
+    filled = F.transform(columns, lambda c: F.coalesce(F.try_element_at("cells", c), F.lit(0)).cast("string"))
     path = scratch_path(spark, "matrix")
-    write_tsv(wide, path)
-    return read_matrix(spark, path, 50).cells
+    write_tsv(found.select("r", F.array_join(filled, "\t").alias("cells")), path, lists=["cells"])
+    return read_matrix(spark, path, widest).cells
 
 
 def triples_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,13 +299,16 @@ def itemset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
-def basket_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored_baskets(spark, sf_dir, "p_type")
-    found = market.frequent_itemsets(stored, 0.01)
-    rules = market.association_rules(found, 0.5)
-    return market.predict(stored, rules, "order_id").select(
-        "order_id", _joined("items").alias("items"), _joined("prediction").alias("prediction")
-    )
+def _predictions(min_support: float, **options) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = _stored_baskets(spark, sf_dir, "p_type")
+        found = market.frequent_itemsets(stored, min_support)
+        rules = market.association_rules(found, 0.5)
+        return market.predict(stored, rules, "order_id", **options).select(
+            "order_id", _joined("items").alias("items"), _joined("prediction").alias("prediction")
+        )
+
+    return query
 
 
 # --- bipartite network inference -------------------------------------------------------------
@@ -304,8 +337,7 @@ def _shape(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 def _first_errors(spark: SparkSession, sf_dir: str, cells: DataFrame) -> DataFrame:
     _, num_cols = _shape(spark, sf_dir)
-    weights = materialize(bipartite.cell_weights(cells), "weights")
-    return bipartite.rating_error(weights, _gamma(spark, sf_dir), 1, num_cols)
+    return bipartite.rating_error(bipartite.cell_weights(cells), None, 1, num_cols, GAMMA_SEED)
 
 
 def _gamma(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,13 +376,15 @@ def nbi_gradient_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _stored_cells(spark, sf_dir)
     errors = _first_errors(spark, sf_dir, cells)
     part = bipartite.error_summary(errors, *_shape(spark, sf_dir)).first()["part"]
+    _, num_cols = _shape(spark, sf_dir)
     moved = bipartite.gradient_step(
-        _gamma(spark, sf_dir), _supply_rows(spark, sf_dir), cells, part, 1, LEARNING_RATE
+        None, _supply_rows(spark, sf_dir), cells, part, 1, LEARNING_RATE, num_cols, GAMMA_SEED
     )
     return moved.select("r", "c", _r6("g").alias("g"))
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> bipartite.Fit:
+    """The documented run over the first two columns."""
     return bipartite.fit(
         _supply_rows(spark, sf_dir),
         _stored_cells(spark, sf_dir),
@@ -358,6 +392,14 @@ def _fitted(spark: SparkSession, sf_dir: str) -> bipartite.Fit:
         LEARNING_RATE,
         *_shape(spark, sf_dir),
         seed=GAMMA_SEED,
+        columns=[1, 2],
+    )
+
+
+def _history(fitted: bipartite.Fit) -> DataFrame:
+    return fitted.history.select(
+        "epoch", "column", _r6("num").alias("num"), _r6("ss").alias("ss"),
+        _r6("rmse").alias("rmse"),
     )
 
 
@@ -366,18 +408,40 @@ def nbi_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nbi_fit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = spark.createDataFrame(
-        _fitted(spark, sf_dir).history,
-        "epoch int, column int, num double, ss double, rmse double, part double",
+    return _history(_fitted(spark, sf_dir))
+
+
+BRANDS = 25
+BRAND_CHUNK = 8
+
+
+def _fitted_brands(spark: SparkSession, sf_dir: str) -> bipartite.Fit:
+    """Matrix supplier x brand, all columns moved, in several chunks."""
+    lines = lookup_join(
+        _load(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_partkey").alias("p_partkey")),
+        _load(spark, sf_dir, "part").select("p_partkey", "p_brand"),
+        "p_partkey",
     )
-    return history.select(
-        "epoch", "column", _r6("num").alias("num"), _r6("ss").alias("ss"),
-        _r6("rmse").alias("rmse"),
+    brand = F.substring_index("p_brand", "#", -1).cast("bigint")
+    cells = materialize(bipartite.link_counts(lines, F.col("l_suppkey") + 1, brand), "cells")
+    num_rows, _ = _shape(spark, sf_dir)
+    return bipartite.fit(
+        _supply_rows(spark, sf_dir), cells, 1, LEARNING_RATE, num_rows, BRANDS, seed=GAMMA_SEED, chunk_columns=BRAND_CHUNK
     )
 
 
+def nbi_fit_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted_brands(spark, sf_dir).gamma.select("r", "c", _r6("g").alias("g"))
+
+
+def nbi_fit_brands_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(_fitted_brands(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
+    "csv_scan_texts": csv_scan_texts,
+    "csv_scan_inferred": csv_scan_inferred,
     "points_parse": points_parse,
     "matrix_unpivot": matrix_unpivot,
     "triples_parse": triples_parse,
@@ -405,7 +469,10 @@ QUERIES: dict[str, Query] = {
     "assoc_rules_type": _rules("p_type", 0.01, 0.5),
     "assoc_rules_brand": _rules("p_brand", 0.001, 0.1),
     "itemset_counts": itemset_counts,
-    "basket_predict": basket_predict,
+    "basket_predict": _predictions(0.01),
+    "basket_predict_joined": _predictions(0.01, max_rule_bytes=0),
+    "basket_predict_low": _predictions(0.001),
+    "assoc_rules_low": _rules("p_type", 0.001, 0.5),
     "row_degree": row_degree,
     "nbi_transition": nbi_transition,
     "nbi_gamma_init": nbi_gamma_init,
@@ -414,4 +481,6 @@ QUERIES: dict[str, Query] = {
     "nbi_gradient_step": nbi_gradient_step,
     "nbi_fit": nbi_fit,
     "nbi_fit_history": nbi_fit_history,
+    "nbi_fit_brands": nbi_fit_brands,
+    "nbi_fit_brands_history": nbi_fit_brands_history,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brindle.plans.catalog import EPOCHS, GAMMA_SEED, LEARNING_RATE
+from brindle.plans.catalog import BRANDS, EPOCHS, GAMMA_SEED, LEARNING_RATE
 
 _BLOCK = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _ROW_SUM = " + ".join(f"coalesce({c}, 0.0)" for c in _BLOCK)
@@ -87,12 +87,29 @@ def _count_query(min_support: float) -> str:
         SELECT 'rules', CAST({min_support} AS DOUBLE), count(*) FROM rules)"""
 
 
+def _predict_query(min_support: float) -> str:
+    return f"""
+    WITH RECURSIVE {_itemsets("p_type", min_support)}, {_rules(0.5)},
+    whole AS (SELECT order_id, list(item ORDER BY item) AS items FROM pairs GROUP BY order_id),
+    gained AS (
+        SELECT DISTINCT order_id, consequent FROM whole
+        JOIN rules ON list_has_all(items, antecedent) AND NOT list_contains(items, consequent))
+    SELECT w.order_id, array_to_string(any_value(w.items), ',') AS items,
+        coalesce(string_agg(consequent, ',' ORDER BY consequent), '') AS prediction
+    FROM whole w LEFT JOIN gained g ON g.order_id = w.order_id GROUP BY w.order_id"""
+
+
 _CELLS = """
     cells AS MATERIALIZED (
         SELECT l_suppkey + 1 AS r, l_partkey + 1 AS c, CAST(count(*) AS DOUBLE) AS a
         FROM lineitem GROUP BY ALL)"""
 
-_TRANSITION = f"""{_CELLS},
+_BRAND_CELLS = """
+    cells AS MATERIALIZED (
+        SELECT l_suppkey + 1 AS r, CAST(split_part(p_brand, '#', 2) AS BIGINT) AS c, CAST(count(*) AS DOUBLE) AS a
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
+
+_V = """
     degree AS (SELECT r, sum(a) AS d FROM cells GROUP BY r),
     v AS MATERIALIZED (
         SELECT p.i, p.k, p.s / (CASE WHEN d = 0 THEN 1 ELSE d END) AS v
@@ -100,14 +117,23 @@ _TRANSITION = f"""{_CELLS},
               FROM cells x JOIN cells y ON x.c = y.c GROUP BY ALL) p
         JOIN degree ON r = i)"""
 
+_TRANSITION = f"{_CELLS}, {_V}"
+
 
 _BITS = f"CAST('0x' || substr(md5(concat_ws(':', '{GAMMA_SEED}', r, c)), 1, 15) AS BIGINT)"
 
-_GAMMA = f"""
+_SHAPE = """
     shape AS (SELECT (SELECT max(s_suppkey) + 1 FROM supplier) AS num_rows,
         (SELECT max(p_partkey) + 1 FROM part) AS num_cols),
     grid AS (
-        SELECT s_suppkey + 1 AS r, p_partkey + 1 AS c FROM supplier CROSS JOIN part),
+        SELECT s_suppkey + 1 AS r, p_partkey + 1 AS c FROM supplier CROSS JOIN part)"""
+
+_BRAND_SHAPE = f"""
+    shape AS (SELECT max(s_suppkey) + 1 AS num_rows, {BRANDS} AS num_cols FROM supplier),
+    grid AS (
+        SELECT s_suppkey + 1 AS r, c FROM supplier CROSS JOIN (SELECT unnest(range(1, {BRANDS + 1})) AS c))"""
+
+_START = f"""
     bits AS (SELECT r, c, {_BITS} AS b FROM grid),
     g0 AS MATERIALIZED (
         SELECT r, c,
@@ -115,6 +141,8 @@ _GAMMA = f"""
                 * cos(2.0 * pi() * ((b & 1073741823) / 1073741824.0)) * 0.10 AS g
         FROM bits)"""
 
+_GAMMA = f"{_SHAPE}, {_START}"
+
 
 def _step(n: int, column: int) -> str:
     """CTEs of one gradient step: cell errors, their sums, the next weights."""
@@ -146,6 +174,17 @@ def _descent(steps: int, select: str) -> str:
     return f"WITH {_TRANSITION}, {_GAMMA}, {chain} {select}"
 
 
+def _brand_descent(select: str) -> str:
+    chain = ",".join(_step(n, n) for n in range(1, BRANDS + 1))
+    return f"WITH {_BRAND_CELLS}, {_V}, {_BRAND_SHAPE}, {_START}, {chain} {select}"
+
+
+_BRAND_HISTORY = " UNION ALL ".join(
+    f'SELECT 1 AS epoch, {n} AS "column", '
+    f"round(coalesce(num, 0), 6) AS num, round(ss, 6) AS ss, round(rmse, 6) AS rmse FROM s{n}"
+    for n in range(1, BRANDS + 1)
+)
+
 _HISTORY = " UNION ALL ".join(
     f"SELECT CAST({(n + 1) // 2} AS INTEGER) AS epoch, "
     f"CAST({(n - 1) % 2 + 1} AS INTEGER) AS \"column\", "
@@ -155,6 +194,10 @@ _HISTORY = " UNION ALL ".join(
 
 ORACLES: dict[str, str] = {
     "csv_scan": "SELECT * FROM part",
+    "csv_scan_texts": "SELECT * FROM documents",
+    "csv_scan_inferred": """
+    SELECT p_partkey, p_name, p_brand, p_size, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_retailprice END AS price
+    FROM part""",
     "points_parse": """
     SELECT CAST(vec_id AS VARCHAR) AS id, CAST(pos - 1 AS INTEGER) AS pos,
         CAST(embedding[pos] AS DOUBLE) AS x
@@ -235,15 +278,10 @@ ORACLES: dict[str, str] = {
     "assoc_rules_type": _rule_query("p_type", 0.01, 0.5),
     "assoc_rules_brand": _rule_query("p_brand", 0.001, 0.1),
     "itemset_counts": f"{_count_query(0.01)} UNION ALL {_count_query(0.001)}",
-    "basket_predict": f"""
-    WITH RECURSIVE {_itemsets("p_type", 0.01)}, {_rules(0.5)},
-    whole AS (SELECT order_id, list(item ORDER BY item) AS items FROM pairs GROUP BY order_id),
-    gained AS (
-        SELECT DISTINCT order_id, consequent FROM whole
-        JOIN rules ON list_has_all(items, antecedent) AND NOT list_contains(items, consequent))
-    SELECT w.order_id, array_to_string(any_value(w.items), ',') AS items,
-        coalesce(string_agg(consequent, ',' ORDER BY consequent), '') AS prediction
-    FROM whole w LEFT JOIN gained g ON g.order_id = w.order_id GROUP BY w.order_id""",
+    "basket_predict": _predict_query(0.01),
+    "basket_predict_joined": _predict_query(0.01),
+    "basket_predict_low": _predict_query(0.001),
+    "assoc_rules_low": _rule_query("p_type", 0.001, 0.5),
     "row_degree": f"""
     WITH {_CELLS}
     SELECT s_suppkey + 1 AS r, CASE WHEN coalesce(sum(a), 0.0) = 0 THEN 1.0
@@ -264,4 +302,8 @@ ORACLES: dict[str, str] = {
     "nbi_gradient_step": _descent(1, "SELECT r, c, round(g, 6) AS g FROM g1"),
     "nbi_fit": _descent(2 * EPOCHS, f"SELECT r, c, round(g, 6) AS g FROM g{2 * EPOCHS}"),
     "nbi_fit_history": _descent(2 * EPOCHS, _HISTORY),
+    "nbi_fit_brands": _brand_descent(
+        f"SELECT r, c, round(g, 6) AS g FROM g{BRANDS} CROSS JOIN shape WHERE c <= num_rows"
+    ),
+    "nbi_fit_brands_history": _brand_descent(_BRAND_HISTORY),
 }

@@ -2,33 +2,72 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Set to true where spark.checkpoint.dir is a mount that all machines share, such as NFS.
+SHARED_MOUNT = "spark.brindle.checkpointDirIsSharedMount"
+
+_runs: list[str] = []
+
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is set up only for a local master without that setting.
+    On a cluster a missing setting is an error, and so is a folder in the local file
+    system, which would be another one on each machine. For a local master without the setting a
+    temporary folder is set up and deleted when Python ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    root = context.getCheckpointDir()
+    local = context.master.startswith("local")
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="brindle-"))
+        folder = tempfile.mkdtemp(prefix="brindle-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         root = context.getCheckpointDir()
+    if not local and spark.conf.get(SHARED_MOUNT, "false") != "true" and _scheme(spark, root) == "file":
+        raise RuntimeError(f"spark.checkpoint.dir names a local folder, {root}; if it is a shared mount, set {SHARED_MOUNT}=true")
     return root.rstrip("/")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _scheme(spark: SparkSession, path: str) -> str:
+    return _hadoop_path(spark, path)[1].getUri().getScheme()
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Everything put in scratch storage inside the block is deleted at its end.
+
+    Frames that operators returned may still read it, so write or collect them before.
+    """
+    folder = f"{shared_root(spark)}/brindle/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield
+    finally:
+        _runs.remove(folder)
+        path, files = _hadoop_path(spark, folder)
+        files.delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared root that nothing has been written to yet."""
-    return f"{shared_root(spark)}/brindle/{label}-{uuid.uuid4().hex}"
+    folder = _runs[-1] if _runs else f"{shared_root(spark)}/brindle"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -24,41 +24,50 @@ def read_csv(
     *,
     pandas_missing: bool = False,
     sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header line.
+    """CSV with a header line; a quote inside a quoted field is doubled.
 
     Without a schema the types are inferred, which costs one more pass over
     the files; pass one for anything large. ``pandas_missing`` reads a table the
     way a pandas notebook does: the usual markers of a missing value and NaN
-    become NULL. With a schema all markers are recognised; with inference a
-    column that holds one of the word markers is inferred as text.
+    become NULL, and inference passes over them. ``multi_line`` allows line breaks in quoted fields; a file is then
+    read by one task.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
-    if schema is None:
-        table = reader.option("inferSchema", True).csv(path)
-        if not pandas_missing:
-            return table
-        blanked = [
-            F.when(~F.col(f.name).isin(*MISSING_TEXTS), F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
-            for f in table.schema.fields
-        ]
-        return nan_to_null(table.select(*blanked))
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if schema is None and not pandas_missing:
+        return reader.option("inferSchema", True).csv(path)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if not pandas_missing:
         return reader.option("mode", "FAILFAST").schema(schema).csv(path)
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    table = reader.option("mode", "FAILFAST").schema(as_text).csv(path)
-    return table.select(
-        *[
-            F.when(~F.col(f.name).isin(*MISSING_TEXTS), F.col(f.name))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    if schema is not None:
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        reader = reader.option("mode", "FAILFAST").schema(as_text)
+    table = reader.csv(path)
+    table = table.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in table.columns])
+    types = {f.name: f.dataType.simpleString() for f in schema.fields} if schema is not None else _narrowest(table)
+    return nan_to_null(table.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in table.columns]))
+
+
+# Types that inference tries, narrowest first.
+INFERRED = ("int", "bigint", "double", "boolean", "timestamp")
+
+
+def _narrowest(table: DataFrame) -> dict[str, str]:
+    """For each text column the first type that all its values have, in one pass; without values it stays text."""
+    tests = [
+        F.count_if(F.col(f"`{c}`").isNotNull() & F.trim(F.col(f"`{c}`")).try_cast(kind).isNull()).alias(f"{i}_{kind}")
+        for i, c in enumerate(table.columns)
+        for kind in INFERRED
+    ]
+    seen = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(table.columns)]
+    found = table.agg(*tests, *seen).first()
+    return {
+        c: next((kind for kind in INFERRED if found[f"{i}_n"] and not found[f"{i}_{kind}"]), "string")
+        for i, c in enumerate(table.columns)
+    }
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
