@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from brindle.llm.kernels import slices
 
 LONG_WORD = 96
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 BLOCK_CELLS = 1 << 20
 NO_RANK = np.int32(np.iinfo(np.int32).max)
 
@@ -113,7 +113,8 @@ class Codec:
         """One long word: a heap of ranked pairs over a linked list of parts."""
         parts = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
         before, after = list(range(-1, len(parts) - 1)), [*range(1, len(parts)), -1]
-        first = self.ranks(np.array(parts[:-1]), np.array(parts[1:])).tolist()
+        whole = np.array(parts, dtype=np.int64)
+        first = self.ranks(whole[:-1], whole[1:]).tolist()
         heap = [(rank, i, parts[i], parts[i + 1]) for i, rank in enumerate(first) if rank != NO_RANK]
         heapq.heapify(heap)
         while heap:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import arc_warc, bpe, decontaminate, exact_dedup, language, ngram_join, quality, secret_scan, sharding, substring_dedup
+from brindle.llm.tables import on_workers
 from brindle.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ SHARDS = 16
 
 
 def _load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.llm.kernels import slices
+from brindle.llm.tables import measured
 from brindle.scratch import materialize
 
 LEAST_CHUNK = 1 << 10
@@ -142,12 +143,15 @@ def duplicates(docs: DataFrame, digest: Digest = sha256) -> DataFrame:
     recipes = materialize(recipes.withColumn("_row", F.monotonically_increasing_id()), "recipes")
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
     groups = recipes.groupBy("recipe").agg(F.min(order).alias("_keeper"), F.count(F.lit(1)).alias("group_size"))
-    rows = recipes.join(groups, "recipe")
+    # Only copies look their group up. Stored, the groups have a measured size, and a large join can split hot recipes.
+    groups = materialize(groups.where("group_size > 1"), "groups")
+    rows = recipes.join(measured(groups), "recipe", "left")
+    alone = F.col("group_size").isNull()
     return rows.select(
         "doc_id",
-        F.col("_keeper.id").alias("keep_id"),
-        "group_size",
-        (F.col("_row") == F.col("_keeper.row")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("_keeper.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        (alone | (F.col("_row") == F.col("_keeper.row"))).alias("kept"),
         "text_sha256",
     )
 

@@ -41,25 +41,27 @@ def grams(word: str, size: int) -> list[str]:
 def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of (language, length, unit) in a batch; length 0 means a whole word."""
     for batch in batches:
-        counts: Counter = Counter()
+        words: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-            counts.update((lang, w) for w in _WORD.findall((text.as_py() or "").lower()))
-        units: Counter = Counter()
-        for (lang, word), n in counts.items():
-            units[lang, 0, word] += n
-            for size in range(1, LONGEST + 1):
-                for gram in grams(word, size):
-                    units[lang, size, gram] += n
-        keys = list(units)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] for k in keys], pa.string()),
-                pa.array(list(units.values()), pa.int64()),
-            ],
-            names=["lang", "size", "unit", "n"],
-        )
+            words.setdefault(lang, Counter()).update(_WORD.findall((text.as_py() or "").lower()))
+        for lang, counts in words.items():
+            for size in range(LONGEST + 1):
+                units = counts
+                if size:
+                    units = Counter()
+                    for word, n in counts.items():
+                        for gram in grams(word, size):
+                            units[gram] += n
+                count = len(units)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * count, pa.string()),
+                        pa.array([size] * count, pa.int32()),
+                        pa.array(list(units), pa.string()),
+                        pa.array(list(units.values()), pa.int64()),
+                    ],
+                    names=["lang", "size", "unit", "n"],
+                )
 
 
 class Model:
@@ -129,7 +131,7 @@ def fit(rows: DataFrame, key_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS
     kept = [
         r
         for part, limit in ((F.col("size") == 0, words), (F.col("size") > 0, n_grams))
-        for r in counted.where(part).withColumn("place", frequent).where(F.col("place") <= limit).collect()
+        for r in counted.where(part).withColumn("place", frequent).where(F.col("place") <= limit).toArrow().to_pylist()
     ]
     # A unit that a language does not know counts as half a sighting there.
     base = [[math.log(0.5 / (1 + totals.get((lang, size), 0))) for lang in langs] for size in range(LONGEST + 1)]

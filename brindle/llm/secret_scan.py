@@ -96,7 +96,8 @@ def scan_versions(
     scanned = unseen.mapInArrow(_scan, f"blob binary, found {FOUND}")
     scanned.withColumn("rules", F.lit(rules)).select("blob", "rules", "found").write.mode("append").parquet(ledger_path)
     others = [c for c in versions.columns if c not in (text_col, "blob", "found")]
-    return versions.select(*others, blob.alias("blob")).join(read_ledger(spark, ledger_path, rules), "blob")
+    found = versions.select(*others, blob.alias("blob")).join(read_ledger(spark, ledger_path, rules), "blob")
+    return found.select(*others, "blob", "found")
 
 
 def digest(found: list[tuple[str, int, int]]) -> str:

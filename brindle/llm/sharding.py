@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.llm.tables import measured
 from brindle.scratch import materialize
 
 CELL_ROWS = 512
@@ -51,7 +52,7 @@ def interleave(docs: DataFrame, shards: int, seed: int = 17) -> DataFrame:
     # The share of all hash values below the row's: a number from 0 to 1.
     below = (F.shiftright("_key", 40) + (1 << 23)) / float(1 << 24)
     kinds = rows.groupBy("_kind").agg(F.count(F.lit(1)).alias("_rows"))
-    rows = rows.join(kinds, "_kind").withColumn("_cell", F.floor(below * _cells(F.col("_rows"))))
+    rows = rows.join(measured(kinds), "_kind").withColumn("_cell", F.floor(below * _cells(F.col("_rows"))))
     counts = rows.groupBy("_kind", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_kind").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_kind", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))

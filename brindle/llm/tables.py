@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.operators.joins import fits_in_broadcast
@@ -12,6 +14,13 @@ from brindle.operators.joins import fits_in_broadcast
 BROADCAST_BYTES = 16 << 20
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let the Python workers of a local master import this package; a cluster's executors have it installed."""
+    if spark.sparkContext.master.startswith("local"):
+        paths = [str(Path(__file__).parents[2]), *filter(None, [spark.sparkContext.environment.get("PYTHONPATH")])]
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(os.pathsep.join(paths).split(os.pathsep)))
+
+
 def measured(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``lookup``, marked for broadcast if a measurement finds it small enough; beyond that joins shuffle."""
     return F.broadcast(lookup) if fits_in_broadcast(lookup, max_bytes) else lookup
