@@ -9,8 +9,8 @@ word at a time from the leftmost to the rightmost, and each looks for the smalle
 window. What is left when neighbouring hits are merged are the maximal repeats of ``window`` words or more. No pairs of
 documents are formed: a passage in n documents costs n rows per window, not n squared.
 
-Texts with the same words are one text from the start. Texts move to the windows only where a seed
-was found, and are broadcast against or shuffled by their id depending on the measured number of these.
+Texts with the same words are one text from the start. Texts meet their seeds in a join whose strategy the
+planner picks by the stored size of the seeds.
 """
 
 from __future__ import annotations
@@ -160,15 +160,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     anchors = distinct.select("_seq", "_id", F.explode("_anchors").alias("_anchor"))
     several = F.min("_id") < F.max("_id")
+    # Stored first, the joins with these lists are plain, so that hot keys on the other side can be split.
     shared = anchors.groupBy("_anchor").agg(several.alias("_shared")).where("_shared").select("_anchor")
+    shared = materialize(shared, "shared-anchors")
     seeds = anchors.join(shared, "_anchor").groupBy("_seq").agg(F.collect_list("_anchor").alias("_seeds"))
     seeds = materialize(seeds.join(distinct.select("_seq", "_id", "_key", "_digest"), "_seq"), "seeds")
 
-    seeded = texts.drop("doc_id").join(measured(seeds), "_key").select("_id", "_seq", "_digest", "_seeds", "_text")
+    seeded = texts.drop("doc_id").join(seeds, "_key").select("_id", "_seq", "_digest", "_seeds", "_text")
     windows = seeded.mapInArrow(_windows(window), "_hash long, _check int, _seq long, _id long, _start int")
     windows = materialize(windows, "windows")
     first = windows.groupBy("_hash", "_check").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-    hits = windows.join(first.where("_first < _last"), ["_hash", "_check"]).where(F.col("_id") > F.col("_first"))
+    first = materialize(first.where("_first < _last").drop("_last"), "first-windows")
+    hits = windows.join(first, ["_hash", "_check"]).where(F.col("_id") > F.col("_first"))
     spans = hits.groupBy("_seq").agg(F.collect_list("_start").alias("_starts"))
     spans = spans.mapInArrow(_merge(window), f"_seq long, removed {SPANS}")
     spans = distinct.select("_digest", "_seq", F.col("_id").alias("_first")).join(spans, "_seq", "left")
