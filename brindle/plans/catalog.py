@@ -435,7 +435,10 @@ def nbi_fit_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nbi_fit_brands_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history(_fitted_brands(spark, sf_dir))
+    """The error sum in millions, so that six places are within a double's precision."""
+    return _fitted_brands(spark, sf_dir).history.select(
+        "epoch", "column", _r6("num").alias("num"), _r6(F.col("ss") / 1e6).alias("ss_millions"), _r6("rmse").alias("rmse")
+    )
 
 
 QUERIES: dict[str, Query] = {

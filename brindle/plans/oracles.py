@@ -181,7 +181,7 @@ def _brand_descent(select: str) -> str:
 
 _BRAND_HISTORY = " UNION ALL ".join(
     f'SELECT 1 AS epoch, {n} AS "column", '
-    f"round(coalesce(num, 0), 6) AS num, round(ss, 6) AS ss, round(rmse, 6) AS rmse FROM s{n}"
+    f"round(coalesce(num, 0), 6) AS num, round(ss / 1e6, 6) AS ss_millions, round(rmse, 6) AS rmse FROM s{n}"
     for n in range(1, BRANDS + 1)
 )
 
