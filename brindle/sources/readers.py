@@ -17,6 +17,9 @@ MISSING_TEXTS = (
 )
 
 
+NULL_MARK = "\u0000null"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -36,6 +39,8 @@ def read_csv(
     """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
     reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    # An empty field stands for this mark, and so for NULL; a quoted empty field is an empty text.
+    reader = reader.option("nullValue", NULL_MARK)
     if schema is None and not pandas_missing:
         return reader.option("inferSchema", True).csv(path)
     if isinstance(schema, str):

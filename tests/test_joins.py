@@ -54,3 +54,12 @@ def test_hot_key_is_spread_over_tasks(spark, sides):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert parts == 8
+
+
+@pytest.mark.parametrize("spread_rows", [1, 1000])
+def test_left_joins_keep_rows_without_a_partner(spark, spread_rows):
+    left = spark.createDataFrame([(1, "a")] * 5 + [(2, "b"), (3, "c"), (None, "d")], "k INT, x STRING")
+    right = spark.createDataFrame([(1, 10), (3, 30), (4, 40)], "k INT, y INT")
+    want = sorted(map(str, left.join(right, "k", "left").select("k", "x", "y").collect()))
+    for got in (spread_join(left, right, "k", spread_rows, how="left"), lookup_join(left, right, "k", 0, spread_rows, "left"), lookup_join(left, right, "k", how="left")):
+        assert sorted(map(str, got.select("k", "x", "y").collect())) == want

@@ -112,3 +112,81 @@ def test_materialize_uses_the_configured_folder(spark):
     assert sorted(frame.collect()) == [Row(id=0), Row(id=1), Row(id=2)]
     assert all(f"{root}/brindle/numbers-" in name for name in frame.inputFiles())
     assert os.path.isdir(f"{root}/brindle")
+
+
+TEXTS = ["  lead", "trail  ", "", None, 'say "hi", you', "a,b", "two\nlines", "\r\n", '"', "NA", " "]
+
+
+def test_csv_round_trip_keeps_every_text(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame(rows, "k INT, t STRING"), path)
+    back = read_csv(spark, path, "k INT, t STRING", multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+    plain = str(tmp_path / "plain")
+    rows = [r for r in rows if "\n" not in (r[1] or "")]
+    write_csv(spark.createDataFrame(rows, "k INT, t STRING"), plain)
+    assert sorted(map(tuple, read_csv(spark, plain, "k INT, t STRING").collect())) == rows
+
+
+def test_csv_inference_passes_over_missing_markers(spark, tmp_path):
+    text = 'i,d,t,b,none,big\n1,NA,"say ""hi"", you",true,NA,1\nNULL,2.5,x,False,,5000000000\n3,nan,NA,n/a,NaN,NA\n'
+    table = read_csv(spark, put(tmp_path, "a.csv", text), pandas_missing=True)
+    assert dict(table.dtypes) == {"i": "int", "d": "double", "t": "string", "b": "boolean", "none": "string", "big": "bigint"}
+    assert [tuple(r) for r in table.collect()] == [
+        (1, None, 'say "hi", you', True, None, 1), (None, 2.5, "x", False, None, 5000000000), (3, None, None, None, None, None)
+    ]
+    with_schema = read_csv(spark, put(tmp_path, "b.csv", 'x,y\n"say ""hi"", you",1\n'), "x STRING, y INT", pandas_missing=True)
+    assert [tuple(r) for r in with_schema.collect()] == [('say "hi", you', 1)]
+
+
+@pytest.mark.parametrize("text", ["a\tb", "a\nb", "a\rb"])
+def test_tsv_refuses_texts_that_would_break_a_line(spark, tmp_path, text):
+    with pytest.raises(Exception, match="tab or line break"):
+        write_tsv(spark.createDataFrame([(text,)], "a STRING"), str(tmp_path / "out"))
+
+
+def test_matrix_is_as_wide_as_its_data(spark, tmp_path):
+    from brindle.plans.catalog import matrix_unpivot
+
+    lines = spark.createDataFrame([(0, 51.0), (0, 51.0), (4, 1.0)], "l_partkey BIGINT, l_quantity DOUBLE")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert sorted(map(tuple, matrix_unpivot(spark, str(tmp_path)).collect())) == [(1, 51, 2.0), (5, 1, 1.0)]
+    lines.selectExpr("l_partkey", "l_quantity + 0.5 AS l_quantity").write.parquet(f"{tmp_path}/x/lineitem.parquet")
+    with pytest.raises(Exception, match="not a column number"):
+        matrix_unpivot(spark, f"{tmp_path}/x").collect()
+
+
+def test_a_run_deletes_what_it_stored(spark):
+    from brindle.scratch import scratch_path, scratch_run
+
+    with scratch_run(spark):
+        path = scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        inside = materialize(spark.range(4), "y")
+        assert inside.count() == 4 and os.path.isdir(path.removeprefix("file:"))
+        kept = inside.count()
+    assert kept == 4 and not os.path.exists(path.removeprefix("file:"))
+    assert "run-" not in scratch_path(spark, "z")
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from brindle import scratch
+
+    class Context:
+        master = "spark://host:7077"
+
+        def __getattr__(self, name):
+            return getattr(spark.sparkContext, name)
+
+    class Session:
+        sparkContext = Context()
+        conf = spark.conf
+
+    with pytest.raises(RuntimeError, match="local folder"):
+        scratch.shared_root(Session())
+    spark.conf.set(scratch.SHARED_MOUNT, "true")
+    try:
+        assert scratch.shared_root(Session()) == scratch.shared_root(spark)
+    finally:
+        spark.conf.unset(scratch.SHARED_MOUNT)

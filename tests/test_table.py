@@ -99,3 +99,15 @@ def test_preview(creatures):
 def test_top_rows_plan_never_sorts_the_whole_table(creatures):
     plan = table.top_rows(creatures, "total", 3, ["id"])._jdf.queryExecution().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_nan_is_missing_in_every_operator(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(1.0, "a", 1), (nan, "a", 2), (None, "b", 3), (5.0, "b", 4)], "x DOUBLE, k STRING, n INT")
+    assert [r["non_null"] for r in table.column_profile(rows).orderBy("position").collect()] == [2, 4, 4]
+    assert {r["column"]: r["mean"] for r in table.column_means(rows, ["x", "n"]).collect()} == {"x": 3.0, "n": 2.5}
+    assert [(r["k"], r["n"]) for r in table.group_count(rows, "k", "x").collect()] == [("a", 1), ("b", 1)]
+    by_number = [(r["x"], r["n"]) for r in table.group_count(rows, "x", "n").collect()]
+    assert by_number == [(1.0, 1), (5.0, 1)]
+    for ascending, want in ((True, [1, 4, 2, 3]), (False, [4, 1, 2, 3])):
+        assert [r["n"] for r in table.top_rows(rows, "x", 4, ["n"], ascending).collect()] == want
