@@ -179,6 +179,38 @@ def _brand_descent(select: str) -> str:
     return f"WITH {_BRAND_CELLS}, {_V}, {_BRAND_SHAPE}, {_START}, {chain} {select}"
 
 
+def _whole_descent(select: str) -> str:
+    """All columns, one recursion step each; ``m`` holds how far each column with a row has moved along V."""
+    return f"""
+    WITH RECURSIVE {_TRANSITION}, {_GAMMA},
+    e0 AS MATERIALIZED (
+        SELECT cells.r, cells.c, a,
+            (CASE WHEN cells.c < num_cols THEN coalesce(v.v, 0.0) * a ELSE 0.0 END) AS f, g, coalesce(v.v, 0.0) AS v
+        FROM cells CROSS JOIN shape
+        LEFT JOIN v ON v.i = cells.r AND v.k = cells.c
+        JOIN g0 ON g0.r = cells.r AND g0.c = cells.c),
+    walk AS (
+        SELECT 0 AS n, list_transform(range(num_rows), lambda x: CAST(0 AS DOUBLE)) AS m,
+            CAST(0 AS DOUBLE) AS num, CAST(0 AS DOUBLE) AS ss
+        FROM shape
+        UNION ALL
+        SELECT n + 1,
+            list_transform(m, lambda x, i: CASE WHEN i = n % num_cols + 1 THEN x + {LEARNING_RATE} * num /
+                (CASE WHEN ss = 0 THEN 0.0001 ELSE sqrt(ss) * num_rows * num_cols END) ELSE x END),
+            num, ss
+        FROM (
+            SELECT n, any_value(m) AS m, sum(CASE WHEN r = n % num_cols + 1 THEN a * e ELSE 0.0 END) AS num,
+                sum(e * e) AS ss, any_value(num_rows) AS num_rows, any_value(num_cols) AS num_cols
+            FROM (
+                SELECT n, m, r, a, f * (g - v * coalesce(m[c], 0.0)) - a AS e, num_rows, num_cols
+                FROM walk CROSS JOIN shape CROSS JOIN e0
+                WHERE n < {EPOCHS} * num_cols)
+            GROUP BY n)),
+    moved AS (
+        SELECT unnest(m) AS size, unnest(range(1, len(m) + 1)) AS c FROM walk ORDER BY n DESC LIMIT (SELECT num_rows FROM shape))
+    {select}"""
+
+
 _BRAND_HISTORY = " UNION ALL ".join(
     f'SELECT 1 AS epoch, {n} AS "column", '
     f"round(coalesce(num, 0), 6) AS num, round(ss / 1e6, 6) AS ss_millions, round(rmse, 6) AS rmse FROM s{n}"
@@ -302,6 +334,15 @@ ORACLES: dict[str, str] = {
     "nbi_gradient_step": _descent(1, "SELECT r, c, round(g, 6) AS g FROM g1"),
     "nbi_fit": _descent(2 * EPOCHS, f"SELECT r, c, round(g, 6) AS g FROM g{2 * EPOCHS}"),
     "nbi_fit_history": _descent(2 * EPOCHS, _HISTORY),
+    "nbi_fit_all": _whole_descent(
+        "SELECT g0.r, g0.c, round(g - coalesce(v.v, 0.0) * size, 6) AS g FROM g0 JOIN moved ON moved.c = g0.c "
+        "LEFT JOIN v ON v.i = g0.r AND v.k = g0.c"
+    ),
+    "nbi_fit_all_history": _whole_descent(
+        "SELECT CAST((n - 1) // num_cols + 1 AS INTEGER) AS epoch, CAST((n - 1) % num_cols + 1 AS INTEGER) AS \"column\", "
+        "round(num, 6) AS num, round(ss / 1e6, 6) AS ss_millions, round(sqrt(ss), 6) AS rmse "
+        "FROM walk CROSS JOIN shape WHERE n > 0"
+    ),
     "nbi_fit_brands": _brand_descent(
         f"SELECT r, c, round(g, 6) AS g FROM g{BRANDS} CROSS JOIN shape WHERE c <= num_rows"
     ),
