@@ -85,6 +85,15 @@ class Model:
             size -= 1
         return []
 
+    def knows(self, text: str | None) -> bool:
+        """Whether the text has a known word or a word with a known n-gram; edge marks alone do not count."""
+        words = set(_WORD.findall((text or "").lower()))
+        if any(word in self.places[0] for word in words):
+            return True
+        return any(
+            gram in self.places[size] and gram not in ("<", ">") for word in words for size in range(1, LONGEST + 1) for gram in grams(word, size)
+        )
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its share of the posterior; ``und`` and 0 without a letter or a learned language."""
         if not text or not self.langs:
@@ -151,7 +160,8 @@ def identify(
 ) -> DataFrame:
     """``docs`` with lang_pred and score; with ``least_score``, only accepted rows and no new column.
 
-    A row is rejected if its language is ``und`` or scores less than ``least_score``. A text that is NULL or has no letter is ``und``
+    A row is rejected if its language is ``und`` or scores less than ``least_score``, or if the model knows none of its words
+    nor any n-gram of them, so that its score says nothing. A text that is NULL or has no letter is ``und``
     with score 0. Columns named lang_pred or score are replaced unless rows are only selected.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.places, model.scores))
@@ -161,9 +171,10 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            found = [own.predict(text.as_py()) for text in batch.column(place)]
+            texts = batch.column(place)
+            found = [own.predict(text.as_py()) for text in texts]
             if least_score is not None:
-                good = [lang != UNKNOWN and score >= least_score for lang, score in found]
+                good = [lang != UNKNOWN and score >= least_score and own.knows(text.as_py()) for (lang, score), text in zip(found, texts)]
                 yield batch.filter(pa.array(good, pa.bool_()))
                 continue
             yield pa.RecordBatch.from_arrays(

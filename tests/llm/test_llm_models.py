@@ -41,6 +41,15 @@ def test_language_edges(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_a_text_of_which_nothing_is_known_is_rejected(spark):
+    """As the pipeline asks: with the lowest score. Short and mixed texts stay."""
+    model = language.fit(spark.createDataFrame(LANG_ROWS, DOCS))
+    texts = ["日本", "日本 の 文章", "Привет, мир 12", "12 !?", "the", "dog 12", "a", "the dog und die katze", "日本 the 文章", "unden katzen"]
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(texts)], DOCS)
+    assert {r["doc_id"] for r in language.identify(docs, model, least_score=0.0).collect()} == set(range(4, 10))
+    assert language.identify(docs, model).count() == len(texts)
+
+
 def test_a_large_language_is_thinned(spark):
     rows = [(i, f"the word{i}", "en", None) for i in range(2000)] + [(i, "der hund", "de", None) for i in range(20)]
     model = language.fit(spark.createDataFrame(rows, DOCS), sample_rows=100)
