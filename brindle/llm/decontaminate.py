@@ -6,6 +6,9 @@ least n - q + 1 - k * q of the item's q-grams, and stays within k diagonals of t
 q-grams that both share are counted in diagonal bands that overlap by k, and only bands that reach the bound are verified,
 by an alignment that is banded in the same way.
 
+Items that are too short for the bound to ask for ``LEAST_SHARED`` shared q-grams of ``Q`` characters use ``SHORT_Q``. Items below ``Q``
+characters allow no edit and are looked up as they are, between word boundaries.
+
 The items' q-grams travel with the tasks. They are taken in blocks of at most ``BLOCK_CHARS`` characters, one pass
 over the documents for each, so a larger benchmark costs more passes, not more memory. Documents are neither
 shuffled nor compared with each other. Long texts are read in overlapping stretches of ``STRETCH`` characters.
@@ -24,6 +27,7 @@ from brindle.llm.kernels import mix
 from brindle.scratch import materialize
 
 Q = 12
+SHORT_Q = 8
 EDIT_SHARE = 0.05
 LEAST_SHARED = 4
 BLOCK_CHARS = 4 << 20
@@ -38,39 +42,72 @@ def normal(text: str | None) -> str:
 
 
 def budget(length: int) -> int:
-    """Edits allowed in an item: 5 percent, as far as the lemma still asks for shared q-grams; -1 below q characters."""
-    if length < Q:
-        return -1
-    grams = length - Q + 1
-    return max(0, min(int(EDIT_SHARE * length), (grams - LEAST_SHARED) // Q))
+    """Edits allowed in an item: 5 percent; -1 for an empty one, which never occurs."""
+    return int(EDIT_SHARE * length) if length else -1
+
+
+def q_of(length: int) -> int:
+    """Length of the q-grams that find an item of at least ``Q`` characters."""
+    return Q if max(0, length - Q + 1 - LEAST_SHARED) // Q >= budget(length) else SHORT_Q
 
 
 def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def q_grams(text: np.ndarray) -> np.ndarray:
-    """Hash of the ``Q`` (12 = 8 + 4) characters from every place on."""
+def q_grams(text: np.ndarray, q: int = Q) -> np.ndarray:
+    """Hash of the ``q`` (8, or 12 = 8 + 4) characters from every place on."""
+    count = len(text) - q + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
     h = text.astype(np.uint64) + np.uint64(1)
     for width in (1, 2, 4):
-        if len(h) <= width:
-            return np.zeros(0, np.uint64)
         h = h[:-width] * np.uint64(pow(_BASE, width, 1 << 64)) + h[width:]
         if width == 2:
             four = h
-    count = len(text) - Q + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
+    if q == SHORT_Q:
+        return mix(h)
     return mix(h[:count] * np.uint64(pow(_BASE, 4, 1 << 64)) + four[8 : 8 + count])
 
 
 class Index:
-    """q-grams of a block of items and their places."""
+    """A block of items: those below ``Q`` characters by their text, the others by their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, codes(t)) for i, t in items if budget(len(t)) >= 0]
+        self.short: dict[str, list[int]] = {}
+        by_q: dict[int, list[tuple[int, str]]] = {}
+        for i, t in items:
+            if len(t) >= Q:
+                by_q.setdefault(q_of(len(t)), []).append((i, t))
+            elif t:
+                self.short.setdefault(t, []).append(i)
+        self.sizes = sorted({len(t) for t in self.short})
+        self.parts = [Grams(some, q) for q, some in sorted(by_q.items())]
+
+    def whole_words(self, text: str) -> dict[int, tuple[int, int]]:
+        """Short items that stand in the text with no word continued at either end, with no edits and the first end."""
+        best: dict[int, tuple[int, int]] = {}
+        if not self.short:
+            return best
+        word = [c.isalnum() or c == "_" for c in text]
+        edge = [True, *(not (a and b) for a, b in zip(word, word[1:])), True]
+        for start in range(len(text)):
+            if edge[start]:
+                for size in self.sizes:
+                    if start + size <= len(text) and edge[start + size]:
+                        for i in self.short.get(text[start : start + size], ()):
+                            best.setdefault(i, (0, start + size))
+        return best
+
+
+class Grams:
+    """q-grams of some items and their places."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int):
+        self.q = q
+        self.items = [(i, codes(t)) for i, t in items]
         self.budgets = np.array([budget(len(t)) for _, t in self.items], dtype=np.int64)
-        lists = [q_grams(t) for _, t in self.items]
+        lists = [q_grams(t, q) for _, t in self.items]
         hashes = np.concatenate([np.zeros(0, np.uint64), *lists])
         order = np.argsort(hashes, kind="stable")
         self.hashes = hashes[order]
@@ -82,7 +119,7 @@ class Index:
 
     def hits(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document place, item and item place of every shared q-gram."""
-        grams = q_grams(text)
+        grams = q_grams(text, self.q)
         at = np.flatnonzero(self.present[grams >> np.uint64(64 - TABLE_BITS)])
         first = np.searchsorted(self.hashes, grams[at], "left")
         many = np.searchsorted(self.hashes, grams[at], "right") - first
@@ -107,7 +144,7 @@ class Index:
         (items, bands), counts = _groups(item2, band2)
         sizes = np.array([len(t) for _, t in self.items])[items]
         kk = self.budgets[items]
-        enough = counts >= sizes - Q + 1 - kk * Q
+        enough = counts >= sizes - self.q + 1 - kk * self.q
         for i, b, width in zip(items[enough], bands[enough], kk[enough] + 1):
             yield int(i), int(b * width - self.longest)
 
@@ -172,12 +209,16 @@ def _stretches(text: np.ndarray, overlap: int) -> Iterator[tuple[int, np.ndarray
 
 def matches(index: Index, text: str | None) -> list[tuple[int, int, int]]:
     """(item_id, edits, end) of every item of the index that occurs in a text; end counts normalised characters."""
-    whole = codes(normal(text))
-    best: dict[int, tuple[int, int]] = {}
-    for start, part in _stretches(whole, 2 * index.longest):
-        for i, (edits, end) in index.search(part).items():
-            best[i] = min(best.get(i, (edits, start + end)), (edits, start + end))
-    return [(index.items[i][0], edits, end) for i, (edits, end) in sorted(best.items())]
+    text = normal(text)
+    whole = codes(text)
+    found = [(i, edits, end) for i, (edits, end) in index.whole_words(text).items()]
+    for part in index.parts:
+        best: dict[int, tuple[int, int]] = {}
+        for start, stretch in _stretches(whole, 2 * part.longest):
+            for i, (edits, end) in part.search(stretch).items():
+                best[i] = min(best.get(i, (edits, start + end)), (edits, start + end))
+        found += [(part.items[i][0], edits, end) for i, (edits, end) in best.items()]
+    return sorted(found)
 
 
 def blocks(benchmark: DataFrame, block_chars: int) -> Iterator[tuple[list[tuple[int, str]], bool]]:
@@ -199,7 +240,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_
     """One row per document and item that occurs in it: doc_id, item_id, edits and end.
 
     ``edits`` is the fewest edits of any occurrence within the budget, ``end`` the number of normalised characters up to the end of the first such
-    occurrence. Clean documents have no row. An item of fewer than ``Q`` characters says nothing about its source and never occurs;
+    occurrence. Clean documents have no row. An item of fewer than ``Q`` characters occurs as whole words only;
     a NULL or empty text holds no item. Repeated documents each have their rows, items that repeat id and text count once. Empty
     tables give an empty result; other columns are ignored.
     """

@@ -183,6 +183,31 @@ def test_blocks_and_stretches_do_not_change_leaks(spark, monkeypatch):
     assert [m[:2] for m in decontaminate.matches(index, long)] == [m[:2] for m in want] and len(want) > 10
 
 
+def test_short_items_allow_five_percent():
+    """Items of 1 to 45 characters against full edit distances; below 12 characters whole words only."""
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    items = [(n, letters(n)) for n in range(1, 46)]
+    index = decontaminate.Index([*items, (99, "")])
+    seen = set()
+    for n, item in items:
+        for edits in (0, 1, 1, 1, 2, 3):
+            leak = edited(rng, item, edits) if n > 3 else item
+            for text in (f"{letters(30)} {leak} {letters(9)}", f"{letters(9)}{leak}{letters(20)}", leak):
+                want = []
+                for k, x in items:
+                    if k < decontaminate.Q:
+                        d = 0 if re.search(rf"(?<!\w){re.escape(x)}(?!\w)", text) else 1
+                    else:
+                        d = edit_distance_inside(x, text)
+                    if d <= int(decontaminate.EDIT_SHARE * k):
+                        want.append((k, d))
+                assert sorted(m[:2] for m in decontaminate.matches(index, text)) == want
+                seen |= set(want)
+    assert {(n, 1) for n in range(20, 27)} | {(n, 0) for n in range(1, 46)} <= seen
+    assert decontaminate.matches(decontaminate.Index([(1, "c++ 1")]), "xc++ 12, c++ 1.") == [(1, 0, 14)]
+
+
 def test_leaks_of_empty_tables(spark):
     docs, items = frame(spark, [(1, "some text")]), frame(spark, [], "item_id long, text string")
     assert decontaminate.occurrences(docs, items).count() == 0
