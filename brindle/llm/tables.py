@@ -31,7 +31,7 @@ def keep_rows(docs: DataFrame, decided: DataFrame, with_key: Callable[[DataFrame
 
     A document is addressed by its doc_id; texts are not shuffled while the list of dropped ids is small. Where a doc_id is
     NULL or repeated, ``with_key`` computes the column ``_key`` of these rows alone to tell them apart, and
-    of rows that agree in both one stays.
+    of rows that agree in both one stays. Rows with a NULL ``_key`` are alike to nothing: all that are kept stay.
     """
     repeated = decided.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 OR doc_id IS NULL").select("doc_id")
     dropped = decided.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").join(repeated, "doc_id", "left_anti")
@@ -45,5 +45,6 @@ def keep_rows(docs: DataFrame, decided: DataFrame, with_key: Callable[[DataFrame
     rows = docs.join(measured(repeated.withColumnRenamed("doc_id", "_id")), F.expr("doc_id <=> _id"), "left_semi")
     rows = with_key(rows)
     same = rows["doc_id"].eqNullSafe(kept["_id"]) & rows["_key"].eqNullSafe(kept["_kept_key"])
-    rows = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    own = F.when(F.col("_key").isNull(), F.monotonically_increasing_id())
+    rows = rows.join(kept, same, "left_semi").withColumn("_own", own).dropDuplicates(["doc_id", "_key", "_own"])
     return plain.unionByName(rows.select(*docs.columns))

@@ -59,6 +59,14 @@ def test_near_copies(kept):
     assert {i for i, _ in after} == {g[2] for g in plain_groups(before)}
 
 
+def test_near_copies_keep_every_wordless_text(spark):
+    """Texts without words are linked with nothing, whatever their ids."""
+    rows = [(None, ""), (None, " "), (None, None), (7, ""), (7, "\n"), (8, ""), (None, "a b c d e f"), (None, "a b c d e f"), (9, "a b c d e f")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    got = texts(corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    assert sorted(map(str, got)) == sorted(map(str, [*rows[:6], rows[8]]))
+
+
 def test_leaks(kept):
     before, after = map(texts, kept[0][3:5])
     items = [decontaminate.normal(r["text"]) for r in kept[1]]
