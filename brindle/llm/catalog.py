@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import arc_warc, bpe, decontaminate, exact_dedup, language, ngram_join, quality, secret_scan, sharding, substring_dedup
+from brindle.llm import (
+    arc_warc, bpe, decontaminate, exact_dedup, language, merkle, ngram_join, packing, quality, secret_scan, sharding, substring_dedup, whitening,
+)
 from brindle.llm.tables import on_workers
 from brindle.scratch import materialize, scratch_path
 
@@ -108,10 +110,44 @@ def op10_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain.select(*columns).union(revisits.select(*columns))
 
 
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _load(spark, sf_dir, "documents")
+    # A NULL doc_id has no checksum, so its row is left as it is.
+    altered = [F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in LEAF_FIELDS]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, merkle.leaf(*altered)).alias("changed_leaf")
+    rows = merkle.manifest(docs.select(*LEAF_FIELDS, changed), LEAF_FIELDS, "source", "doc_id", keep=["changed_leaf"])
+    folded = rows.withColumn("folded_root", merkle.fold(F.coalesce("changed_leaf", "leaf"), F.col("path")))
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", verified)
+
+
+SEQUENCE_TOKENS = 1024
+END_OF_DOCUMENT = 2
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _load(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), END_OF_DOCUMENT, SEQUENCE_TOKENS)
+    return packed.drop("token_ids")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_load(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding")
+    entries = found.rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    share = F.try_element_at(F.array(*map(F.lit, found.explained)).cast("array<double>"), F.col("component"))
+    return entries.withColumn("component", F.col("at") + 1).select(
+        "vec_id", "component", F.lit(found.count).cast("long").alias("n"), "deviation", "whitened", share.alias("explained"),
+        F.lit(found.identity_error).alias("identity_error"),
+    )
+
+
 def op_queries() -> dict[str, Query]:
     found = (
         op1_secret_scan, op2_exact_dedup, op3_decontaminate, op4_language, op5_quality, op6_sharding, op7_substring_dedup, op8_bpe, op9_ngram_join,
-        op10_arc_warc,
+        op10_arc_warc, op11_merkle_manifest, op12_best_fit_packing, op13_embedding_whitening,
     )
     return {f.__name__: f for f in found}
 
@@ -120,7 +156,57 @@ QUERIES = op_queries()
 
 WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
+
+
+def _tree_sql(prefix: str, leaves: str) -> str:
+    """Hashes of all nodes over ``leaves`` (kind, i, n, h) and the siblings of each, as table expressions."""
+    return f"""
+        {prefix}up AS (
+            SELECT kind, 0 AS level, i, n, h FROM {leaves} UNION ALL
+            SELECT kind, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM {prefix}up WHERE n > 1 GROUP BY kind, level, i // 3, n
+        ), {prefix}sib AS (
+            SELECT a.kind, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+                coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+            FROM {prefix}up a JOIN {prefix}up b ON a.kind = b.kind AND a.level = b.level AND a.i // 3 = b.i // 3 GROUP BY a.kind, a.level, a.i
+        )"""
+
+
+def _walk_sql(prefix: str, start: str) -> str:
+    """From ``start`` (doc_id, kind, i, n, folded, proof) to the root of each tree."""
+    return f"""
+        {prefix}walk AS (
+            SELECT doc_id, kind, 0 AS level, i, n, folded, proof FROM {start} UNION ALL
+            SELECT doc_id, kind, level + 1, i // 3, (n + 2) // 3, sha256(before || folded || after), proof || before || after
+            FROM {prefix}walk JOIN {prefix}sib USING (kind, level, i) WHERE n > 1
+        )"""
+
+
+def _leaf_sql(text: str) -> str:
+    values = [text if c == "text" else f"{c}::VARCHAR" for c in LEAF_FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')" for v in values) + ")"
+
+
+# Bits of crc32: each byte is followed by eight steps of -1.
+_CRC32 = """xor(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), lambda a, e: CASE WHEN e >= 0 THEN xor(a, e)
+    WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
 ORACLES = {
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce('+' || source, '') AS kind, {_leaf_sql("text")} AS h,
+                CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS changed
+            FROM documents
+        ), l AS (
+            SELECT *, row_number() OVER (PARTITION BY kind ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY kind) AS n FROM d
+        ), {_tree_sql("", "l")}, sub AS (SELECT kind AS name, h FROM up WHERE n = 1),
+        t AS (SELECT name, '' AS kind, row_number() OVER (ORDER BY encode(name)) - 1 AS i, count(*) OVER () AS n, h FROM sub),
+        {_tree_sql("top_", "t")},
+        s AS (SELECT doc_id, kind, i, n, coalesce(changed, h) AS folded, '' AS proof FROM l), {_walk_sql("", "s")},
+        ts AS (SELECT doc_id, '' AS kind, t.i, t.n, folded, proof FROM walk JOIN t ON walk.kind = t.name WHERE walk.n = 1), {_walk_sql("top_", "ts")}
+        SELECT doc_id, l.h AS leaf, sub.h AS subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+        FROM (SELECT * FROM top_walk WHERE n = 1) w JOIN l USING (doc_id) JOIN sub ON l.kind = sub.name CROSS JOIN (SELECT h FROM top_up WHERE n = 1) r
+    """,
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

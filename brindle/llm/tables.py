@@ -6,10 +6,11 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.operators.joins import fits_in_broadcast
+from brindle.scratch import materialize
 
 BROADCAST_BYTES = 16 << 20
 
@@ -26,6 +27,26 @@ def measured(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(lookup) if fits_in_broadcast(lookup, max_bytes) else lookup
 
 
+def number(rows: DataFrame, key: str, index: str, count: str) -> DataFrame:
+    """``rows`` stored, with their number from 0 within ``key`` in the order in which the tasks hold them, and the key's rows in ``count``.
+
+    The rows of a key must stand together in each task, as after a sort by it, and ``key`` must not be NULL.
+    Only counts per task and key pass through a window, so a key may hold any share of the rows.
+    """
+    stored = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    # The id's upper bits name the task, the lower 33 count its rows; both are stored, so a later reader may split the files anew.
+    part = F.shiftright("_at", 33).alias("_part")
+    runs = stored.groupBy(key, part).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    whole = Window.partitionBy(key)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        key, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias(count)
+    )
+    runs = materialize(runs, "runs")
+    found = stored.withColumn("_part", part).join(measured(runs), [key, "_part"])
+    return found.withColumn(index, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame, with_key: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows of ``docs`` that ``decided`` (doc_id, _key, kept; one row per document) keeps.
 
