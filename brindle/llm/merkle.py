@@ -62,25 +62,26 @@ def _ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 def _tier(nodes: DataFrame, most: int, fanout: int, levels: int) -> DataFrame:
     """``nodes`` (_tree, _index, _count, _hash, ...) with their _block, the _path inside it and the block's root in _hash."""
     size = fanout**levels
-    place = lambda width: F.floor(F.col("_index") / width)
+    widths = [fanout**i for i in range(levels) if fanout**i < most]
     tier = nodes.withColumn("_block", F.expr(f"_index div {size}")).withColumn("_path", F.array().cast(PATH))
-    tier = tier.repartition("_tree", "_block")
     columns = tier.columns
-    for width in (fanout**i for i in range(levels)):
-        if width >= most:
-            break
+    # The parents of a level are named by all levels above them, so one sort by these names orders the rows for every level.
+    parents = [f"_parent{i}" for i in range(len(widths))]
+    tier = tier.select("*", *[F.expr(f"_index div {w * fanout}").alias(name) for w, name in zip(widths, parents)])
+    tier = tier.repartition("_tree", "_block").sortWithinPartitions("_tree", "_block", *reversed(parents))
+    for i, width in enumerate(widths):
         slot = F.expr(f"_index div {width} % {fanout}")
-        parent = Window.partitionBy("_tree", "_block", F.expr(f"_index div {width * fanout}"))
-        slots = [f"_slot{i}" for i in range(fanout)]
-        spread = [F.max(F.when(slot == i, F.col("_hash"))).over(parent).alias(name) for i, name in enumerate(slots)]
-        tier = tier.select(*columns, *spread)
-        before = F.concat_ws("", *[F.when(slot > i, F.col(name)) for i, name in enumerate(slots)])
-        after = F.concat_ws("", *[F.when(slot < i, F.col(name)) for i, name in enumerate(slots)])
+        parent = Window.partitionBy("_tree", "_block", *reversed(parents[i:]))
+        slots = [f"_slot{j}" for j in range(fanout)]
+        spread = [F.max(F.when(slot == j, F.col("_hash"))).over(parent).alias(name) for j, name in enumerate(slots)]
+        tier = tier.select(*columns, *parents[i:], *spread)
+        before = F.concat_ws("", *[F.when(slot > j, F.col(name)) for j, name in enumerate(slots)])
+        after = F.concat_ws("", *[F.when(slot < j, F.col(name)) for j, name in enumerate(slots)])
         # A tree whose nodes are down to one at this level is done.
         grows = F.col("_count") > width
         step = F.concat("_path", F.array(F.struct(before.alias("before"), after.alias("after"))).cast(PATH))
         new = {"_path": F.when(grows, step).otherwise(F.col("_path")), "_hash": F.when(grows, digest(*map(F.col, slots))).otherwise(F.col("_hash"))}
-        tier = tier.select(*[new[c].alias(c) if c in new else c for c in columns])
+        tier = tier.select(*[new[c].alias(c) if c in new else c for c in columns], *parents[i + 1 :])
     return materialize(tier, "tier")
 
 
@@ -125,8 +126,7 @@ def manifest(rows: DataFrame, fields: Sequence[str], source: str, key: str, keep
     tree = F.when(F.col(source).isNull(), "").otherwise(F.concat(F.lit("+"), F.col(source).cast("string")))
     wanted = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
     leaves = rows.select(tree.alias("_tree"), F.col(key).alias("_key"), leaf(*map(F.col, fields)).alias("_hash"), F.col(source).alias("_source"), *wanted)
-    leaves = _ranked(leaves, ["_key", "_hash"])
-    leaves = materialize(leaves.withColumn("_leaf", F.col("_hash")), "leaves")
+    leaves = _ranked(leaves, ["_key", "_hash"]).withColumn("_leaf", F.col("_hash"))
     tiers, subroots = _climb(leaves, fanout)
     subroots = materialize(subroots.select("_tree", F.col("_hash").alias("_subroot")), "subroots")
 
