@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Vectors
@@ -57,7 +58,8 @@ def _blocks(rows: DataFrame, count: int, width: int) -> BlockMatrix:
     """(index, v) with indexes 0..count - 1 as a matrix of blocks."""
     block_rows = max(BLOCK_ROWS, -(-count // MOST_BLOCKS))
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector("v").alias("vector")), "vector")
-    return IndexedRowMatrix(vectors, count, width).toBlockMatrix(block_rows, width)
+    # Products read the blocks several times; a lost one is built again from the stored rows.
+    return IndexedRowMatrix(vectors, count, width).toBlockMatrix(block_rows, width).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _scatter(blocks: BlockMatrix) -> np.ndarray:
@@ -135,10 +137,13 @@ def whiten(rows: DataFrame, vector: str, components: int = 32, steps: int = 64,
     explained = [float(e) / total if r else 0.0 for e, r in zip(values[order], real)]
     scale = np.where(real, 1 / np.sqrt(np.where(real, values[order], 1.0)), 0.0)
     projected = materialize(_project(blocks, vectors[:, order] * scale, spark), "projected")
+    blocks._java_matrix_wrapper.call("blocks").unpersist(False)
 
     means = _literal([s / count for s in _sums(projected, "double")], "double")
     centred = projected.withColumn("v", F.zip_with("v", means, lambda y, m: y - m))
-    error = np.abs(_scatter(_blocks(centred, count, len(order))) / count - np.eye(len(order)))
+    blocks = _blocks(centred, count, len(order))
+    error = np.abs(_scatter(blocks) / count - np.eye(len(order)))
+    blocks._java_matrix_wrapper.call("blocks").unpersist(False)
     error = error[real][:, real]
     result = stored.drop("v").join(projected.withColumnRenamed("v", "whitened"), "index")
     return Whitened(result.select(*back, "deviation", "whitened"), count, explained, float(error.max()) if error.size else 0.0)
