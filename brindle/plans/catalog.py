@@ -433,22 +433,19 @@ def nbi_fit_all_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history_millions(_fitted_all(spark, sf_dir))
 
 
-BRANDS = 25
 BRAND_CHUNK = 8
 
 
 def _fitted_brands(spark: SparkSession, sf_dir: str) -> bipartite.Fit:
     """Matrix supplier x brand, all columns moved, in several chunks."""
-    lines = lookup_join(
-        _load(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_partkey").alias("p_partkey")),
-        _load(spark, sf_dir, "part").select("p_partkey", "p_brand"),
-        "p_partkey",
-    )
+    part = _load(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    lines = lookup_join(_load(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_partkey").alias("p_partkey")), part, "p_partkey")
     brand = F.substring_index("p_brand", "#", -1).cast("bigint")
+    brands = part.agg(F.max(brand).alias("m")).first()["m"] or 1
     cells = materialize(bipartite.link_counts(lines, F.col("l_suppkey") + 1, brand), "cells")
     num_rows, _ = _shape(spark, sf_dir)
     return bipartite.fit(
-        _supply_rows(spark, sf_dir), cells, 1, LEARNING_RATE, num_rows, BRANDS, seed=GAMMA_SEED, chunk_columns=BRAND_CHUNK
+        _supply_rows(spark, sf_dir), cells, 1, LEARNING_RATE, num_rows, brands, seed=GAMMA_SEED, chunk_columns=BRAND_CHUNK
     )
 
 
