@@ -304,7 +304,7 @@ def _predictions(min_support: float, **options) -> Query:
         stored = _stored_baskets(spark, sf_dir, "p_type")
         found = market.frequent_itemsets(stored, min_support)
         rules = market.association_rules(found, 0.5)
-        return market.predict(stored, rules, "order_id", **options).select(
+        return market.predict(stored, rules, **options).select(
             "order_id", _joined("items").alias("items"), _joined("prediction").alias("prediction")
         )
 
