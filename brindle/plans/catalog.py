@@ -62,14 +62,28 @@ def csv_scan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types from the values: integers, a number with gaps marked NA, and text."""
-    gap = F.when(F.col("p_size") % 7 == 0, "NA").otherwise(F.col("p_retailprice").cast("string"))
-    part = _load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", gap.alias("price"))
+    """Types from the values: integers, numbers with gaps marked NA, truth values, and texts that only look like something else."""
+    size = F.col("p_size")
+    gap = F.when(size % 7 == 0, "NA").otherwise(F.col("p_retailprice").cast("string"))
+    looks = {
+        "letter": F.when(size % 2 == 0, "y").otherwise("n"),
+        "initial": F.when(size % 2 == 0, "t").otherwise("f"),
+        "clock": F.concat(F.lpad((size % 24).cast("string"), 2, "0"), F.lit(":30")),
+        "month": F.concat(F.lit("2024-"), F.lpad((size % 12 + 1).cast("string"), 2, "0")),
+        "days": F.concat(size.cast("string"), F.lit("d")),
+        "truth": F.when(size % 5 == 0, "").when(size % 2 == 0, "True").otherwise("false"),
+        "gaps": F.when(size % 3 == 0, "n/a").otherwise(F.col("p_partkey").cast("string")),
+    }
+    part = _load(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", "p_brand", "p_size", gap.alias("price"), *[column.alias(name) for name, column in looks.items()]
+    )
     path = scratch_path(spark, "part-csv")
     write_csv(part, path)
     read = read_csv(spark, path, pandas_missing=True)
-    assert read.schema["price"].dataType.simpleString() == "double"
-    return read.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+    types = {f.name: f.dataType.simpleString() for f in read.schema.fields}
+    assert (types["price"], types["truth"]) == ("double", "boolean") and {types[c] for c in ("letter", "initial", "clock", "month", "days")} == {"string"}
+    # The width of whole numbers follows the values, and so the table's size.
+    return read.withColumns({c: F.col(c).cast("bigint") for c in ("p_partkey", "gaps")})
 
 
 def points_parse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,7 +230,11 @@ ORACLES: dict[str, str] = {
     "csv_scan": "SELECT * FROM part",
     "csv_scan_texts": "SELECT * FROM documents",
     "csv_scan_inferred": """
-    SELECT p_partkey, p_name, p_brand, p_size, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_retailprice END AS price
+    SELECT p_partkey, p_name, p_brand, p_size, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_retailprice END AS price,
+        CASE WHEN p_size % 2 = 0 THEN 'y' ELSE 'n' END AS letter, CASE WHEN p_size % 2 = 0 THEN 't' ELSE 'f' END AS initial,
+        lpad((p_size % 24)::VARCHAR, 2, '0') || ':30' AS clock, '2024-' || lpad((p_size % 12 + 1)::VARCHAR, 2, '0') AS month,
+        p_size || 'd' AS days, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size % 2 = 0 END AS truth,
+        CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_partkey END AS gaps
     FROM part""",
     "points_parse": """
     SELECT CAST(vec_id AS VARCHAR) AS id, CAST(pos - 1 AS INTEGER) AS pos,

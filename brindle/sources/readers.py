@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ def read_csv(
     Without a schema the types are inferred, which costs one more pass over
     the files; pass one for anything large. ``pandas_missing`` reads a table the
     way a pandas notebook does: the usual markers of a missing value and NaN
-    become NULL, and inference passes over them. ``multi_line`` allows line breaks in quoted fields; a file is then
+    become NULL, inference passes over them, and only truth values, whole and other numbers get a type. ``multi_line`` allows line breaks in quoted fields; a file is then
     read by one task.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", multi_line)
@@ -56,23 +56,48 @@ def read_csv(
     return nan_to_null(table.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in table.columns]))
 
 
-# Types that inference tries, narrowest first.
-INFERRED = ("int", "bigint", "double", "boolean", "timestamp")
+# The texts pandas reads as true or false, and as infinite, by default.
+BOOLEAN_TEXTS = ("True", "TRUE", "true", "False", "FALSE", "false")
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
+# The kinds of texts a column may hold, one bit each.
+_BOOLEAN, _INT, _BIGINT, _HUGE, _DOUBLE, _TEXT = (1 << i for i in range(6))
+
+
+def _kind_of(value: Column) -> Column:
+    """The bit of a text's kind; NULL has none."""
+    whole = (
+        F.when(value.try_cast("int").isNotNull(), _INT).when(value.try_cast("bigint").isNotNull(), _BIGINT).otherwise(_HUGE)
+    )
+    return (
+        F.when(value.isin(*BOOLEAN_TEXTS), _BOOLEAN)
+        .when(value.rlike(_WHOLE), whole)
+        .when(value.rlike(_NUMBER), _DOUBLE)
+        .when(value.isNotNull(), _TEXT)
+    )
+
+
+def _type_for(kinds: int | None) -> str:
+    """The least type that holds all kinds a column has; kinds of several rows merge by OR, whatever their order."""
+    if not kinds or kinds & _TEXT or (kinds & _BOOLEAN and kinds != _BOOLEAN):
+        return "string"
+    if kinds == _BOOLEAN:
+        return "boolean"
+    if kinds & _DOUBLE:
+        return "double"
+    return "string" if kinds & _HUGE else "bigint" if kinds & _BIGINT else "int"
 
 
 def _narrowest(table: DataFrame) -> dict[str, str]:
-    """For each text column the first type that all its values have, in one pass; without values it stays text."""
-    tests = [
-        F.count_if(F.col(f"`{c}`").isNotNull() & F.trim(F.col(f"`{c}`")).try_cast(kind).isNull()).alias(f"{i}_{kind}")
-        for i, c in enumerate(table.columns)
-        for kind in INFERRED
-    ]
-    seen = [F.count(F.col(f"`{c}`")).alias(f"{i}_n") for i, c in enumerate(table.columns)]
-    found = table.agg(*tests, *seen).first()
-    return {
-        c: next((kind for kind in INFERRED if found[f"{i}_n"] and not found[f"{i}_{kind}"]), "string")
-        for i, c in enumerate(table.columns)
-    }
+    """The type of each text column, from one pass: what a pandas notebook would parse is parsed, all else stays text.
+
+    Whole numbers with gaps stay whole; a column of whole numbers some of which exceed 64 bits
+    is text, and so are dates, times and single letters.
+    """
+    seen = [F.bit_or(_kind_of(F.col(f"`{c}`"))).alias(f"_{i}") for i, c in enumerate(table.columns)]
+    found = table.agg(*seen).first()
+    return {c: _type_for(found[f"_{i}"]) for i, c in enumerate(table.columns)}
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

@@ -140,6 +140,43 @@ def test_csv_inference_passes_over_missing_markers(spark, tmp_path):
     assert [tuple(r) for r in with_schema.collect()] == [('say "hi", you', 1)]
 
 
+COLUMNS = {
+    "letter": (["y", "n", "NA"], "string"), "initial": (["t", "f", "t"], "string"), "clock": (["10:30", "09:00", ""], "string"),
+    "month": (["2024-01", "2024-12", "2024-02"], "string"), "date": (["2024-01-01", "", "2024-02-29"], "string"), "days": (["1d", "2d", "3.5d"], "string"),
+    "truth": (["true", "False", "NULL"], "boolean"), "truth_or_number": (["true", "1", "0"], "string"), "padded_truth": ([" true", "true", "true"], "string"),
+    "gaps": (["1", "NA", "+3"], "int"), "zeros": (["007", " 8 ", "-0"], "int"), "wide": (["1", "2147483648", "-9223372036854775808"], "bigint"),
+    "huge": (["1", "9223372036854775808", "3"], "string"), "huge_number": (["1.5", "9223372036854775808", "3"], "double"),
+    "number": (["1", "2.5", "NaN"], "double"), "exponent": (["1e3", ".5", "5."], "double"), "infinite": (["inf", "-Infinity", "1"], "double"),
+    "hex": (["0x1f", "0x20", "0x21"], "string"), "suffix": (["1f", "2L", "3D"], "string"), "none": (["", "NA", "null"], "string"),
+}
+
+
+def test_inference_parses_what_a_notebook_parses(spark, tmp_path):
+    lines = [",".join(COLUMNS), *[",".join(values[i] for values, _ in COLUMNS.values()) for i in range(3)]]
+    table = read_csv(spark, put(tmp_path, "a.csv", "\n".join(lines) + "\n"), pandas_missing=True)
+    assert dict(table.dtypes) == {name: kind for name, (_, kind) in COLUMNS.items()}
+    rows = table.collect()
+    missing = {"", "NA", "NULL", "NaN", "null"}
+    for name, (values, kind) in COLUMNS.items():
+        if kind == "string":
+            assert [r[name] for r in rows] == [None if v in missing else v for v in values]
+    column = lambda name: [r[name] for r in rows]
+    assert column("truth") == [True, False, None] and column("gaps") == [1, None, 3] and column("zeros") == [7, 8, 0]
+    assert column("wide") == [1, 1 << 31, -(1 << 63)] and column("number") == [1.0, 2.5, None]
+    assert column("exponent") == [1000.0, 0.5, 5.0] and column("infinite") == [float("inf"), float("-inf"), 1.0]
+    assert column("huge_number") == [1.5, 2.0**63, 3.0]
+
+
+def test_kinds_merge_in_any_order():
+    from itertools import permutations
+
+    from brindle.sources.readers import _type_for
+
+    for kinds in permutations([1, 2, 4, 8, 16, 32], 3):
+        assert len({_type_for(a | b | c) for a, b, c in permutations(kinds)}) == 1
+    assert _type_for(None) == _type_for(0) == "string"
+
+
 @pytest.mark.parametrize("text", ["a\tb", "a\nb", "a\rb"])
 def test_tsv_refuses_texts_that_would_break_a_line(spark, tmp_path, text):
     with pytest.raises(Exception, match="tab or line break"):
