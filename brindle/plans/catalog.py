@@ -245,6 +245,15 @@ def min_distance_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("s_id"), _r6("distance").alias("distance"))
 
 
+def min_distance_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding to the closest of all embeddings read backwards, in all dimensions, nothing broadcast."""
+    embeddings = _load(spark, sf_dir, "embeddings")
+    points = embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    mirrored = embeddings.select(F.col("vec_id").alias("id"), F.reverse("embedding").alias("v"))
+    found = nearest.min_distance(points, mirrored, max_broadcast_bytes=0, block_rows=512)
+    return found.select(F.col("id").alias("s_id"), _r6("distance").alias("distance"))
+
+
 # --- market baskets --------------------------------------------------------------------------
 
 
@@ -493,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "min_distance": min_distance,
     "min_distance_merged": min_distance_merged,
     "min_distance_partitioned": min_distance_partitioned,
+    "min_distance_embeddings": min_distance_embeddings,
     "basket_join": basket_join,
     "dedup_subset": dedup_subset,
     "baskets": baskets,

@@ -300,6 +300,10 @@ ORACLES: dict[str, str] = {
         round(min(sqrt((l_quantity - q) ** 2 + (l_extendedprice - e) ** 2
             + (l_discount - d) ** 2 + (l_tax - t) ** 2)), 6) AS distance
     FROM lineitem CROSS JOIN means GROUP BY l_orderkey ORDER BY s_id""",
+    "min_distance_embeddings": """
+    SELECT CAST(a.vec_id AS VARCHAR) AS s_id,
+        round(min(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(list_reverse(b.embedding) AS DOUBLE[]))), 6) AS distance
+    FROM embeddings a CROSS JOIN embeddings b GROUP BY a.vec_id ORDER BY s_id""",
     "min_distance_partitioned": """
     SELECT CAST(c_custkey AS VARCHAR) AS s_id,
         round(min(sqrt(CAST(c_nationkey - s_nationkey AS DOUBLE) ** 2
