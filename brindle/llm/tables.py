@@ -13,6 +13,8 @@ from brindle.operators.joins import fits_in_broadcast
 from brindle.scratch import materialize
 
 BROADCAST_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -22,6 +24,13 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(os.pathsep.join(paths).split(os.pathsep)))
 
 
+def prepare(spark: SparkSession) -> None:
+    """``on_workers``, and batches to Python bounded by bytes, unless the session bounds them itself: by rows alone, long texts make them very large."""
+    on_workers(spark)
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def measured(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``lookup``, marked for broadcast if a measurement finds it small enough; beyond that joins shuffle."""
     return F.broadcast(lookup) if fits_in_broadcast(lookup, max_bytes) else lookup
