@@ -1,7 +1,11 @@
+import csv
+import io
 import os
+import random
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from brindle.scratch import materialize, shared_root
 from brindle.sources import (
@@ -227,3 +231,55 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         assert scratch.shared_root(Session()) == scratch.shared_root(spark)
     finally:
         spark.conf.unset(scratch.SHARED_MOUNT)
+
+
+def hard_csv(count, seed):
+    """Rows of an id and two texts with line breaks, quotes, separators and long stretches; as a file and as Python's csv reads it."""
+    rng = random.Random(seed)
+    piece = lambda: rng.choice(["a", "b,", '"', "\n", "\n\n", "\r\n", " ", "é", "x" * 40, '",\n"', ""])
+    rows = [[str(i), "".join(piece() for _ in range(rng.randrange(9))), "".join(piece() for _ in range(rng.randrange(3)))] for i in range(count)]
+    rows[count // 2][1] = "\n".join(["long"] * 900)  # over several splits
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n", quoting=csv.QUOTE_NONNUMERIC)
+    writer.writerow(["k", "t", "u"])
+    writer.writerows([[int(k), t, u] for k, t, u in rows])
+    return out.getvalue(), sorted((int(k), t, u) for k, t, u in rows)
+
+
+@pytest.mark.parametrize("size, broadcast", [("150", True), ("700", False), ("64k", True)])
+def test_one_quoted_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch, size, broadcast):
+    from brindle.sources import readers
+
+    if not broadcast:
+        monkeypatch.setattr(readers, "fits_in_broadcast", lambda frame: False)
+    folder = tmp_path / "files"
+    folder.mkdir()
+    want = []
+    for i, (seed, count) in enumerate([(1, 120), (2, 60)]):
+        text, rows = hard_csv(count, seed)
+        with open(folder / f"{i}.csv", "w", newline="") as file:
+            file.write(text if i else text.rstrip("\n"))
+        want += rows
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        read = read_csv(spark, str(folder), "k INT, t STRING, u STRING", multi_line=True)
+        assert sorted(map(tuple, read.collect())) == sorted(want)
+        tasks = readers.quoted_records(spark, str(folder)).groupBy(F.spark_partition_id()).count().count()
+        assert tasks > 8 or size == "64k"
+        inferred = read_csv(spark, str(folder), pandas_missing=True, multi_line=True)
+        assert dict(inferred.dtypes) == {"k": "int", "t": "string", "u": "string"} and inferred.count() == len(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quoted_records_with_carriage_returns_blank_lines_and_an_open_quote(spark, tmp_path):
+    text = 'k,t\r\n1,"a\r\nb"\r\n\r\n2,c\r\n3,"open\nend'
+    path = tmp_path / "a.csv"
+    path.write_bytes(text.encode())
+    rows = read_csv(spark, str(path), "k INT, t STRING", multi_line=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, "a\r\nb"), (2, "c"), (3, "open\nend")]
+    (tmp_path / "b.csv").write_text("k,t\n")
+    assert read_csv(spark, str(tmp_path / "b.csv"), "k INT, t STRING", multi_line=True).collect() == []
+    (tmp_path / "c.csv").write_text("k,t\n1,a,b\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path / "c.csv"), "k INT, t STRING", multi_line=True).collect()
