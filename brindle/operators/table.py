@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -84,11 +85,22 @@ def aligned_add(
     return joined.select(key, (lhs + rhs).alias(value)).orderBy(key)
 
 
+def aligned_counts_add(df: DataFrame, keys: Sequence[str], counted: str) -> DataFrame:
+    """Counts by each of several key columns, added up for each key value that all columns have; NULL for one that some column lacks.
+
+    Each row names its keys with the column they come from, so all counts are aligned by one shuffle of partial counts,
+    however many columns there are. Keys are compared in the columns' common type; missing keys are left out.
+    """
+    used = nan_to_null(df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(counted).alias("_counted")))
+    named = used.select("_counted", F.posexplode(F.array(*[f"_k{i}" for i in range(len(keys))])).alias("_side", "key")).where("key IS NOT NULL")
+    sides = [F.count_if(F.col("_side") == i) for i in range(len(keys))]
+    whole = functools.reduce(lambda a, b: a & b, [side > 0 for side in sides])
+    return named.groupBy("key").agg(F.when(whole, F.count("_counted")).alias("n")).orderBy("key")
+
+
 def aligned_count_add(df: DataFrame, first_key: str, second_key: str, counted: str) -> DataFrame:
     """Counts by one key column plus counts by another, aligned on the key value."""
-    first = _group_count(df, first_key, counted, "n").withColumnRenamed(first_key, "key")
-    second = _group_count(df, second_key, counted, "n").withColumnRenamed(second_key, "key")
-    return aligned_add(first, second, "key", "n")
+    return aligned_counts_add(df, [first_key, second_key], counted)
 
 
 def with_row_sum(df: DataFrame, start: int, stop: int, name: str) -> DataFrame:

@@ -163,6 +163,14 @@ def aligned_count_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.aligned_count_add(part, "brand_no", "p_size", "p_name")
 
 
+def aligned_count_add_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by brand number, by size and by length of the name, added up where all three have the number."""
+    part = _load(spark, sf_dir, "part").select(
+        F.substring_index("p_brand", "#", -1).cast("int").alias("brand_no"), "p_size", F.length("p_name").alias("name_length"), "p_name"
+    )
+    return table.aligned_counts_add(part, ["brand_no", "p_size", "name_length"], "p_name")
+
+
 def topk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.top_rows(_load(spark, sf_dir, "orders"), "o_totalprice", 10, ["o_orderkey"])
 
@@ -494,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "group_count": group_count,
     "topk_groups": topk_groups,
     "aligned_count_add": aligned_count_add,
+    "aligned_count_add_three": aligned_count_add_three,
     "topk_rows": topk_rows,
     "row_sum_block": row_sum_block,
     "bottomk_rowsum": bottomk_rowsum,

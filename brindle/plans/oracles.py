@@ -268,6 +268,13 @@ ORACLES: dict[str, str] = {
     "topk_groups": """
     SELECT p_brand, count(p_partkey) AS n FROM part
     WHERE p_brand IS NOT NULL GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 10""",
+    "aligned_count_add_three": """
+    WITH part_no AS (
+        SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS brand_no, p_size, CAST(length(p_name) AS INTEGER) AS name_length, p_name FROM part),
+    x AS (SELECT brand_no AS key, count(p_name) AS n FROM part_no GROUP BY 1),
+    y AS (SELECT p_size AS key, count(p_name) AS n FROM part_no GROUP BY 1),
+    z AS (SELECT name_length AS key, count(p_name) AS n FROM part_no GROUP BY 1)
+    SELECT key, x.n + y.n + z.n AS n FROM x FULL JOIN y USING (key) FULL JOIN z USING (key) ORDER BY key""",
     "aligned_count_add": """
     WITH part_no AS (
         SELECT CAST(split_part(p_brand, '#', 2) AS INTEGER) AS brand_no, p_size, p_name FROM part),

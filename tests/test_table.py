@@ -111,3 +111,15 @@ def test_nan_is_missing_in_every_operator(spark):
     assert by_number == [(1.0, 1), (5.0, 1)]
     for ascending, want in ((True, [1, 4, 2, 3]), (False, [4, 1, 2, 3])):
         assert [r["n"] for r in table.top_rows(rows, "x", 4, ["n"], ascending).collect()] == want
+
+
+def test_several_counts_are_aligned_in_one_shuffle(spark):
+    nan = float("nan")
+    rows = [(1, 2.0, 1, "a"), (1, 1.0, 2, None), (2, nan, None, "b"), (None, 2.0, 1, "c"), (3, 1.0, 3, "d")]
+    table_ = spark.createDataFrame(rows, "a int, b double, c bigint, t string")
+    found = table.aligned_counts_add(table_, ["a", "b", "c"], "t")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # 1: a has one name (of two rows), b one of two, c two; 2: b has two names, a and c one each, of which one is missing; b lacks 3
+    assert [tuple(r) for r in found.collect()] == [(1.0, 4), (2.0, 3), (3.0, None)]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert table.aligned_counts_add(table_.where("false"), ["a", "c"], "t").collect() == []
