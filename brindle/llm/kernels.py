@@ -7,12 +7,14 @@ proportion to them, so callers cut a batch into slices of ``SLICE_BYTES`` with
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+_c = ctypes.CDLL(None)
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -57,19 +59,27 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows ``first`` to ``last`` (exclusive) with their bytes and offsets from zero."""
     if len(column) == 0:
         return
     data, offsets = buffers(column)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
         last = min(max(last, first + 1), len(column))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 
 
+def release() -> None:
+    """Give freed memory back to the system; workers stay alive between tasks and would hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_c, "malloc_trim", None)
+    if trim is not None:  # only in glibc
+        trim(0)
+
+
 class Words:
     """Words of several texts: maximal runs of bytes other than ASCII white space.
 
