@@ -2,6 +2,8 @@ import csv
 import io
 import os
 import random
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import Row
@@ -233,6 +235,44 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         spark.conf.unset(scratch.SHARED_MOUNT)
 
 
+CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+
+session = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1")
+spark = session.config("spark.checkpoint.dir", sys.argv[1]).config("spark.executor.memory", "512m").getOrCreate()
+spark.sparkContext.master = "spark://host:7077"  # executors are processes of their own, as there
+
+from brindle import scratch
+
+assert sorted(r["id"] for r in scratch.materialize(spark.range(5), "numbers").collect()) == list(range(5))
+assert scratch.shared_root(spark) == sys.argv[1]
+kept = scratch._hadoop_path
+
+
+def lost(spark, folder):  # a folder of which the driver has a copy of its own
+    path, files = kept(spark, folder)
+    spark.sparkContext.textFile = lambda *_: spark.sparkContext.parallelize([])
+    return path, files
+
+
+scratch._proven.clear()
+scratch._hadoop_path = lost
+try:
+    scratch.shared_root(spark)
+except RuntimeError as error:
+    assert "local folder" in str(error)
+    print("refused")
+"""
+
+
+def test_a_local_folder_that_executors_share_is_taken(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path / "shared")], cwd=root, capture_output=True, text=True, timeout=180)
+    assert found.returncode == 0 and "refused" in found.stdout, found.stderr[-2000:]
+    assert not [name for name in os.listdir(tmp_path / "shared" / "brindle") if name.startswith("probe-")]
+
+
 def hard_csv(count, seed):
     """Rows of an id and two texts with line breaks, quotes, separators and long stretches; as a file and as Python's csv reads it."""
     rng = random.Random(seed)
