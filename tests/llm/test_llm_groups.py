@@ -1,5 +1,6 @@
 """Repeated passages, near copies, components, archives: against brute force."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -208,6 +209,18 @@ def test_archives_round_trip(spark, tmp_path, version):
     assert by_id[1]["url"] == "http://a.example/x%20y"
 
 
+def test_archives_are_compressed_at_the_fastest_level(spark, tmp_path):
+    words = [f"{i * 7919 % 1000}-{i % 13}" for i in range(20_000)]
+    rows = frame(spark, [(1, "http://a/b", " ".join(words))], "page_id long, url string, html string").coalesce(1)
+    arc_warc.write_arc(rows, f"{tmp_path}/arc")
+    arc_warc.convert(spark, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    for path in [*tmp_path.glob("arc/*.gz"), *tmp_path.glob("warc/*.gz")]:
+        packed = path.read_bytes()
+        plain = gzip.decompress(packed)
+        fastest, usual = (len(gzip.compress(plain, level)) for level in (1, 6))
+        assert abs(len(packed) - fastest) < abs(len(packed) - usual)
+
+
 def test_broken_and_empty_archives(spark, tmp_path):
     parser = arc_warc.ArcParser("f")
     with pytest.raises(ValueError, match="version block"):
