@@ -163,6 +163,19 @@ def test_a_large_family_makes_few_pairs(spark, monkeypatch, edits):
     assert verified[-1] < 20 * len(rows)
 
 
+def test_turns_that_spare_nothing_are_not_repeated(spark, monkeypatch):
+    """Texts put together from the same passages share every n-gram with some other text and are alike to none."""
+    rng = random.Random(4)
+    blocks = [" ".join(f"w{b}-{i}" for i in range(30)) for b in range(20)]
+    rows = [(i, " ".join(rng.sample(blocks, 5))) for i in range(300)]
+    turns = []
+    verify = ngram_join._Join.verify
+    monkeypatch.setattr(ngram_join._Join, "verify", lambda self, pairs: (turns.append(1), verify(self, pairs)))
+    got = ngram_join.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(map(str, plain_groups(rows))) == sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got)
+    assert len(turns) == 3  # stars of the lists, one further centre, the rest
+
+
 def test_near_copies_of_an_empty_table(spark):
     assert ngram_join.near_duplicates(frame(spark, [])).count() == 0
 
